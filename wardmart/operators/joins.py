@@ -56,6 +56,8 @@ def hot_keys(right: DataFrame, on: Sequence[str], min_rows: int = ROWS_PER_SALT,
         .filter(F.col(_TOKEN).isNotNull())
         .groupBy(merger)
         .agg(F.expr(f"approx_top_k_accumulate({_TOKEN}, {SKETCH_ITEMS})").alias("state"))
+        # A constant group, because a global combine fails on a table without keys.
+        .groupBy(F.lit(0).alias("all"))
         .agg(F.expr(f"approx_top_k_combine(state, {SKETCH_ITEMS})").alias("state"))
     )
     top = sketches.select(

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmart.operators.profile import grouping_set_ids
+
 
 def pk_violations(df: DataFrame, *key: str) -> DataFrame:
     """Keys that occur more than once or hold a null, with their row counts ``n``."""
@@ -32,12 +34,11 @@ def fk_orphans(fact: DataFrame,
     third of the fact is one row there.
     """
     names = list(references)
-    width = len(names)
-    ids = [(1 << width) - 1 - (1 << (width - 1 - i)) for i in range(width)]
     counts = fact.groupingSets([[n] for n in names], *names).agg(
         F.grouping_id().alias("__set"), F.count("*").alias("n_rows"))
     which = F.coalesce(*[
-        F.when(F.col("__set") == i, F.lit(n)) for i, n in zip(ids, names, strict=True)])
+        F.when(F.col("__set") == i, F.lit(n))
+        for i, n in zip(grouping_set_ids(len(names)), names, strict=True)])
     used = counts.select(
         which.alias("fk"),
         F.coalesce(*[F.col(n).cast("bigint") for n in names]).alias("key_value"),

@@ -112,26 +112,26 @@ def gold_frames(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]
 def build_gold(spark: SparkSession, settings: Settings) -> None:
     """Check every table, then load it: dimensions first, so the fact's keys resolve.
 
-    Tables are staged before they are checked, so the fact's joins run once, and nothing
-    reaches the target unless all of them pass.
+    Nothing reaches the target unless all tables pass. The fact is staged first, so its
+    joins run once however often it is read; the dimensions are plain columns of silver.
     """
     tables = gold_tables(settings.id_type)
-    staged: dict[str, DataFrame] = {}
-    for name, df in gold_frames(spark, settings).items():
-        path = _table(settings.staging_root, name)
-        files.write_parquet(conform(df, tables[name].schema), path)
-        staged[name] = files.read_parquet(spark, path)
+    frames = {name: conform(df, tables[name].schema)
+              for name, df in gold_frames(spark, settings).items()}
+    staged = _table(settings.staging_root, "fact_appointments")
+    files.write_parquet(frames["fact_appointments"], staged)
+    frames["fact_appointments"] = files.read_parquet(spark, staged)
 
     for name, table in tables.items():
-        require_none(pk_violations(staged[name], table.key), f"primary key of {name}")
+        require_none(pk_violations(frames[name], table.key), f"primary key of {name}")
         if table.not_null:
-            require_no_nulls(staged[name], table.not_null, f"not null in {name}")
+            require_no_nulls(frames[name], table.not_null, f"not null in {name}")
         if table.references:
-            dims = {fk: (staged[dim], key) for fk, (dim, key) in table.references.items()}
-            require_none(fk_orphans(staged[name], dims), f"foreign keys of {name}")
+            dims = {fk: (frames[dim], key) for fk, (dim, key) in table.references.items()}
+            require_none(fk_orphans(frames[name], dims), f"foreign keys of {name}")
 
     for name, table in tables.items():
-        load(staged[name], settings.target, name, table.key, settings.load_mode,
+        load(frames[name], settings.target, name, table.key, settings.load_mode,
              unique=True)
         log.info("loaded %s", name)
 

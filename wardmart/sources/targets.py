@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,10 +37,16 @@ class ParquetTarget:
 
 @dataclass(frozen=True)
 class JdbcTarget:
+    """Tables of a database; they exist there already, with their keys.
+
+    ``splits`` names the key range of a table that is to be read by several connections.
+    """
+
     connection: jdbc.JdbcConnection
+    splits: Mapping[str, jdbc.KeyRange] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame | None:
-        return jdbc.read_table(spark, self.connection, table)
+        return jdbc.read_table(spark, self.connection, table, self.splits.get(table))
 
     def append(self, df: DataFrame, table: str) -> None:
         jdbc.append_table(df, self.connection, table)
