@@ -23,6 +23,8 @@ SKETCH_ITEMS = 16384
 SKETCH_MERGERS = 512
 # Right rows of one hot key that go to one salt.
 ROWS_PER_SALT = 1_000_000
+# Most salts of one key; beyond it each salt holds more rows, none is left out.
+MAX_SALTS = 100_000
 # Spread of left rows whose key is null; they match nothing wherever they go.
 NULL_SALTS = 1 << 16
 
@@ -64,7 +66,8 @@ def hot_keys(right: DataFrame, on: Sequence[str], min_rows: int = ROWS_PER_SALT,
         F.explode(F.expr(f"approx_top_k_estimate(state, {MAX_HOT_KEYS})")).alias("top"))
     return top.filter(F.col("top.count") >= min_rows).select(
         F.col("top.item").alias(_TOKEN),
-        F.ceil(F.col("top.count") / F.lit(rows_per_salt)).cast("int").alias(_SALTS),
+        F.least(F.ceil(F.col("top.count") / F.lit(rows_per_salt)), F.lit(MAX_SALTS))
+        .cast("int").alias(_SALTS),
     )
 
 
@@ -74,9 +77,12 @@ def measured_hot_keys(right: DataFrame, on: Sequence[str] | str,
     """The hot keys, measured once and fixed, or ``None`` when there are none.
 
     Both sides of a salted join must see the same salt counts, so the list (at most
-    ``MAX_HOT_KEYS`` rows) is fixed here rather than computed again on each side.
+    ``MAX_HOT_KEYS`` rows) is fixed here rather than computed again on each side. A table
+    of fewer than ``min_rows`` rows has none, which its row count tells without a scan.
     """
     on = [on] if isinstance(on, str) else list(on)
+    if right.count() < min_rows:
+        return None
     hot = hot_keys(right, on, min_rows, rows_per_salt)
     rows = hot.collect()
     return right.sparkSession.createDataFrame(rows, hot.schema) if rows else None

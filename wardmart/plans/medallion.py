@@ -77,7 +77,7 @@ def ingest(spark: SparkSession, settings: Settings) -> None:
 def build_silver(spark: SparkSession, settings: Settings) -> None:
     """Clean every table from bronze and write it, replacing the last version."""
     for name, clean in CLEANERS.items():
-        raw = files.read_parquet(spark, _table(settings.bronze_root, name))
+        raw = files.read_parquet(spark, _table(settings.bronze_root, name), RAW[name])
         files.write_parquet(clean(raw, settings.as_of, settings.id_type),
                             _table(settings.silver_root, name))
         log.info("cleaned %s", name)

@@ -15,8 +15,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str,
+                 schema: T.StructType | None = None) -> DataFrame:
+    """Parquet; a known schema saves the job that reads one from the files."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:

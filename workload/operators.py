@@ -18,7 +18,7 @@ from wardmart.operators.profile import Profile, column_profile, most_common, val
 from wardmart.operators.quality import fk_orphans, null_counts, pk_violations
 from wardmart.operators.upsert import absent_rows
 from wardmart.plans.trends import trend
-from wardmart.schemas import conform
+from wardmart.schemas import conform, gold_tables
 from wardmart.sources import files
 from wardmart.sources.targets import ParquetTarget, load
 from workload.scratch import scratch_dir
@@ -64,8 +64,13 @@ def dedup(spark, sf_dir):
     return deduplicate(lines)
 
 
+def dedup_rows(spark, sf_dir):
+    """All line items plus one more copy of the returned ones, all columns compared."""
+    lines = table(spark, sf_dir, "lineitem")
+    return deduplicate(lines.unionAll(lines.filter(F.col("l_returnflag") == "R")))
+
+
 def conform_dim(spark, sf_dir):
-    from wardmart.schemas import gold_tables
     parts = table(spark, sf_dir, "part").select(
         F.col("p_retailprice").alias("cost"), F.col("p_name").alias("description"),
         F.col("p_type").alias("treatment_type"), F.col("p_partkey").alias("treatment_id"),
@@ -156,7 +161,7 @@ def left_join_hot_keys(spark, sf_dir):
         events.groupBy("event_type").agg(F.count("*").alias("n_events"))
         .unionAll(events.groupBy("event_type").agg(F.lit(0).cast("bigint"))
                   .select(F.concat("event_type", F.lit("-none")), F.lit(0).cast("bigint"))))
-    hot = measured_hot_keys(events, "event_type", min_rows=100, rows_per_salt=100)
+    hot = measured_hot_keys(events, "event_type", min_rows=1000, rows_per_salt=1000)
     return left_join(kinds, events, "event_type", hot)
 
 
@@ -343,11 +348,10 @@ def insert_if_absent(spark, sf_dir):
 
 
 def absent_keys(spark, sf_dir):
-    """Parts not sold yet: what a load of parts would add to the parts sold."""
-    sold = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select(
-        F.col("l_partkey").alias("p_partkey"))
-    sold = sold.filter(F.col("p_partkey").isNotNull())
-    return absent_rows(table(spark, sf_dir, "part"), sold, "p_partkey")
+    """Orders a load would add to those that had a line returned."""
+    returned = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select(
+        F.col("l_orderkey").alias("o_orderkey"))
+    return absent_rows(table(spark, sf_dir, "orders"), returned, "o_orderkey", unique=True)
 
 
 QUERIES = {
@@ -356,6 +360,7 @@ QUERIES = {
     "q_filter_not_null": filter_not_null,
     "q_drop_all_null": drop_all_null,
     "q_dedup": dedup,
+    "q_dedup_rows": dedup_rows,
     "q_conform": conform_dim,
     "q_standardize_id": standardize_ids,
     "q_initcap_trim": initcap_trim,

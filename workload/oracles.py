@@ -188,6 +188,9 @@ ORACLES = {
         where name is not null or segment is not null or nation is not null""",
     "q_dedup": """
         select distinct l_orderkey, l_linenumber, l_returnflag, l_linestatus from lineitem""",
+    "q_dedup_rows": """
+        select distinct * replace (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate)
+        from lineitem""",
     "q_conform": """
         select cast(p_partkey as int) as treatment_id, p_type as treatment_type,
                p_name as description, cast(cast(p_retailprice as real) as double) as cost
@@ -321,8 +324,9 @@ ORACLES = {
         select * replace (case when c_mktsegment = 'BUILDING' then c_name
                                else concat('late ', c_name) end as c_name) from customer""",
     "q_absent_rows": """
-        select * from part p where not exists (
-            select 1 from lineitem where l_returnflag = 'R' and l_partkey = p.p_partkey)""",
+        select * replace (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate)
+        from orders where not exists (
+            select 1 from lineitem where l_returnflag = 'R' and l_orderkey = o_orderkey)""",
     "q_clean_doctors": f"{_DOCTORS} select * from doctors",
     "q_clean_patients": f"{_PATIENTS} select * from patients",
     "q_clean_appointments": f"""
