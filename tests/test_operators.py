@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wardmart.operators import impute, quality, upsert
-from wardmart.operators.joins import hot_keys, left_join, measured_hot_keys
+from wardmart.operators.joins import _token, hot_keys, left_join, measured_hot_keys
 from wardmart.operators.profile import Profile, column_profile, most_common, value_counts
 
 
@@ -148,6 +148,20 @@ def test_salted_composite_join_equals_plain_join(spark):
         left.join(right, ["x", "y"], "left"))
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "string", "date"])
+def test_one_token_per_key(spark, kind):
+    """Different keys never share a token: a cold key must not be taken for a hot one."""
+    base = spark.range(40).select(F.explode(F.sequence(F.lit(0), F.lit(39))).alias("y"), "id")
+    number = {c: (F.col(c) - 20).cast("int") for c in ("id", "y")}
+    day = {c: F.date_add(F.lit("2024-01-01").cast("date"), n) for c, n in number.items()}
+    keys = base.select(*[(day if kind == "date" else number)[c].cast(kind).alias(n)
+                         for c, n in (("id", "a"), ("y", "b"))])
+    tokens = keys.select(_token(keys, ["a", "b"]).alias("t"))
+    assert tokens.distinct().count() == 1600
+    holed = keys.select(F.col("a"), F.lit(None).cast(kind).alias("b"))
+    assert holed.select(_token(holed, ["a", "b"]).alias("t")).filter("t is not null").count() == 0
+
+
 def test_salted_text_keys(spark):
     left = spark.createDataFrame([("a", "b", 1), ("a,", "b", 2), ("a", None, 3)],
                                  "x string, y string, p int")

@@ -37,11 +37,16 @@ def _token(df: DataFrame, on: Sequence[str]) -> Column:
     if len(on) == 1:
         return F.col(on[0])
     if len(on) == 2 and all(isinstance(k, T.IntegerType) for k in kinds):
-        high = F.shiftleft(F.col(on[0]).cast("bigint"), 32)
+        # Both numbers side by side. The sketch hashes a long by mixing its halves, so the
+        # upper one is scrambled by the lower one: still one value per pair, but without
+        # the collisions that related keys would cause.
+        high = F.shiftleft(F.col(on[0]).bitwiseXOR(F.hash(on[1])).cast("bigint"), 32)
         return high.bitwiseOR(F.col(on[1]).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
     whole = F.lit(True)
     for c in on:
         whole = whole & F.col(c).isNotNull()
+    if all(isinstance(k, T.IntegralType) for k in kinds):
+        return F.when(whole, F.concat_ws(",", *on))
     return F.when(whole, F.to_json(F.struct(*on)))
 
 
