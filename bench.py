@@ -13,7 +13,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from __spark_entry__ import queries
+from workload import jobs, operators
 
 HEADLINE = (
     "q_fact_star", "q_dedup", "q_dedup_rows", "q_mode", "q_value_counts", "q_profile",
@@ -36,7 +36,7 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    found = queries()
+    found = operators.QUERIES | jobs.QUERIES
 
     def once(name: str) -> float:
         start = time.perf_counter()

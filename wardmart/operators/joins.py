@@ -89,8 +89,8 @@ def measured_hot_keys(right: DataFrame, on: Sequence[str] | str,
     if right.count() < min_rows:
         return None
     hot = hot_keys(right, on, min_rows, rows_per_salt)
-    rows = hot.collect()
-    return right.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    found = hot.toArrow()
+    return right.sparkSession.createDataFrame(found, hot.schema) if found.num_rows else None
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str,

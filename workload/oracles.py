@@ -163,9 +163,25 @@ def _fact_tables(holes: bool) -> str:
         _raw("billing", clinic.billing()), _CLEAN_BILLING])
 
 
-_DOCTORS = f"with {_raw('doctors', clinic.doctors())}, {_CLEAN_DOCTORS}"
-_PATIENTS = f"with {_raw('patients', clinic.patients())}, {_CLEAN_PATIENTS}"
-_TREATMENTS = f"with {_raw('treatments', clinic.treatments())}, {_CLEAN_TREATMENTS}"
+def _doctors(holes: bool) -> str:
+    return f"""with {_raw("doctors", clinic.doctors(holes))}, {_CLEAN_DOCTORS}"""
+
+
+def _patients(holes: bool) -> str:
+    return f"""with {_raw("patients", clinic.patients(holes))}, {_CLEAN_PATIENTS}"""
+
+
+def _treatments(holes: bool) -> str:
+    return f"""with {_raw("treatments", clinic.treatments(holes))}, {_CLEAN_TREATMENTS}"""
+
+
+_DIM_DOCTORS = """
+select doctor_id, full_name, specialization, years_experience, hospital_branch from doctors"""
+
+_DIM_PATIENTS = """
+select patient_id, full_name, gender, age, address_region, insurance_provider from patients"""
+
+_DIM_TREATMENTS = "select treatment_id, treatment_type, description, cost from treatments"
 
 ORACLES = {
     "q_fact_star": """
@@ -327,8 +343,8 @@ ORACLES = {
         select * replace (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate)
         from orders where not exists (
             select 1 from lineitem where l_returnflag = 'R' and l_orderkey = o_orderkey)""",
-    "q_clean_doctors": f"{_DOCTORS} select * from doctors",
-    "q_clean_patients": f"{_PATIENTS} select * from patients",
+    "q_clean_doctors": f"{_doctors(True)} select * from doctors",
+    "q_clean_patients": f"{_patients(True)} select * from patients",
     "q_clean_appointments": f"""
         with {_raw("appointments", clinic.appointments())}, {_CLEAN_APPOINTMENTS}
         select * from appointments""",
@@ -338,14 +354,9 @@ ORACLES = {
     "q_clean_treatments": f"""
         with {_raw("treatments", clinic.treatment_lines())}, {_CLEAN_TREATMENTS}
         select * from treatments""",
-    "q_dim_doctors": f"""{_DOCTORS}
-        select doctor_id, full_name, specialization, years_experience, hospital_branch
-        from doctors""",
-    "q_dim_patients": f"""{_PATIENTS}
-        select patient_id, full_name, gender, age, address_region, insurance_provider
-        from patients""",
-    "q_dim_treatments": f"""{_TREATMENTS}
-        select treatment_id, treatment_type, description, cost from treatments""",
+    "q_dim_doctors": f"{_doctors(True)} {_DIM_DOCTORS}",
+    "q_dim_patients": f"{_patients(True)} {_DIM_PATIENTS}",
+    "q_dim_treatments": f"{_treatments(True)} {_DIM_TREATMENTS}",
     "q_fact_appointments": f"with {_fact_tables(True)} {_FACT}",
     "q_clinic_trend_month": f"""
         with {_fact_tables(True)}, f as ({_FACT})
@@ -355,4 +366,7 @@ ORACLES = {
                cast(sum(cast(amount as decimal(18,2))) as double) as revenue
         from f where date_id is not null group by all""",
     "q_medallion_fact": f"with {_fact_tables(False)} {_FACT}",
+    "q_medallion_doctors": f"{_doctors(False)} {_DIM_DOCTORS}",
+    "q_medallion_patients": f"{_patients(False)} {_DIM_PATIENTS}",
+    "q_medallion_treatments": f"{_treatments(False)} {_DIM_TREATMENTS}",
 }
