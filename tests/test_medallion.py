@@ -9,7 +9,7 @@ import pytest
 
 from wardmart.operators.quality import IntegrityError
 from wardmart.plans.medallion import (
-    IngestError, Settings, build_gold, build_silver, ingest, read_gold, run_medallion,
+    IngestError, Settings, _staging, build_gold, build_silver, ingest, read_gold, run_medallion,
 )
 from wardmart.sources import files
 from wardmart.sources.targets import ParquetTarget
@@ -51,7 +51,7 @@ def settings(tmp_path):
         (source / f"{name}.csv").write_text(text)
     return Settings(
         input_root=str(source), bronze_root=str(tmp_path / "bronze"),
-        silver_root=str(tmp_path / "silver"), staging_root=str(tmp_path / "staging"),
+        silver_root=str(tmp_path / "silver"),
         target=ParquetTarget(str(tmp_path / "gold")), as_of="2024-01-01")
 
 
@@ -92,6 +92,14 @@ def test_whole_run_and_rerun(spark, settings):
     assert len(compact.columns) == 6 and compact.count() == 2557
 
 
+def test_staging_folder(spark, settings, tmp_path):
+    shared = _staging(spark, settings)
+    assert shared.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert shared == _staging(spark, settings)
+    assert shared != _staging(spark, replace(settings, silver_root="elsewhere"))
+    assert _staging(spark, replace(settings, staging_root="here")) == "here"
+
+
 def test_hot_keys_change_nothing(spark, settings):
     run_medallion(spark, replace(settings, hot_key_rows=1))
     assert fact(spark, settings) == EXPECTED

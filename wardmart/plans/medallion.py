@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -18,6 +19,7 @@ from wardmart.plans import gold
 from wardmart.plans.silver import CLEANERS
 from wardmart.schemas import RAW, conform, gold_tables
 from wardmart.sources import files
+from wardmart.sources.shared import shared_folder
 from wardmart.sources.targets import Target, load
 
 log = logging.getLogger(__name__)
@@ -30,8 +32,10 @@ class Settings:
     input_root: str
     bronze_root: str
     silver_root: str
-    staging_root: str
     target: Target
+    # Where the fact is written before it is checked; None takes a folder below the one
+    # the cluster names in spark.checkpoint.dir. Each run replaces the copy of the last.
+    staging_root: str | None = None
     # The date the run counts as today; None takes the clock's date.
     as_of: dt.date | str | None = None
     calendar_start: dt.date | str = DEFAULT_START
@@ -57,6 +61,13 @@ def _table(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _staging(spark: SparkSession, settings: Settings) -> str:
+    if settings.staging_root is not None:
+        return settings.staging_root
+    mark = hashlib.sha256(settings.silver_root.encode()).hexdigest()[:16]
+    return f"{shared_folder(spark)}/wardmart-staging-{mark}"
+
+
 def ingest(spark: SparkSession, settings: Settings) -> None:
     """CSV to Parquet per table. One bad table does not stop the others, but the run
     fails in the end, naming every table that failed."""
@@ -118,7 +129,7 @@ def build_gold(spark: SparkSession, settings: Settings) -> None:
     tables = gold_tables(settings.id_type)
     frames = {name: conform(df, tables[name].schema)
               for name, df in gold_frames(spark, settings).items()}
-    staged = _table(settings.staging_root, "fact_appointments")
+    staged = _table(_staging(spark, settings), "fact_appointments")
     files.write_parquet(frames["fact_appointments"], staged)
     frames["fact_appointments"] = files.read_parquet(spark, staged)
 

@@ -90,7 +90,7 @@ def _medallion(spark, sf_dir):
                 f"{root}/input/{name}.csv")
         settings = Settings(
             input_root=f"{root}/input", bronze_root=f"{root}/bronze",
-            silver_root=f"{root}/silver", staging_root=f"{root}/staging",
+            silver_root=f"{root}/silver",
             target=ParquetTarget(f"{root}/gold"), as_of=AS_OF,
             calendar_start=CALENDAR[0], calendar_end=CALENDAR[1])
         run_medallion(spark, settings)

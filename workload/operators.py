@@ -139,10 +139,11 @@ def event_timestamps(spark, sf_dir):
 def left_join_single(spark, sf_dir):
     urgent = table(spark, sf_dir, "orders").filter(
         (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
+    urgent = urgent.select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
     return left_join(
-        table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"),
-        urgent.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice"),
-        "c_custkey")
+        table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), urgent,
+        "c_custkey", measured_hot_keys(urgent, "c_custkey"))
 
 
 def left_join_composite(spark, sf_dir):

@@ -1,21 +1,14 @@
-"""Scratch folders for queries that write: always on storage all executors share."""
+"""Folders for queries that write."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from wardmart.sources.shared import shared_folder
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/wardmart-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder the executors share")
-    return tempfile.mkdtemp(prefix="wardmart-")
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/wardmart-{uuid.uuid4().hex}"
