@@ -17,8 +17,8 @@ from pyspark.sql import SparkSession
 from workload import jobs, operators
 
 HEADLINE = (
-    "q_fact_star", "q_dedup", "q_dedup_rows", "q_mode", "q_value_counts", "q_profile",
-    "q_standardize_id", "q_event_timestamp", "q_left_join_composite", "q_calendar",
+    "q_calendar", "q_standardize_id", "q_event_timestamp", "q_mode", "q_value_counts",
+    "q_profile", "q_dedup", "q_dedup_rows", "q_left_join_composite", "q_fact_star",
     "q_trend_month", "q_pk_violations", "q_fk_violations", "q_clean_doctors",
     "q_clean_patients", "q_clean_appointments", "q_clean_billing", "q_clean_treatments",
     "q_fact_appointments",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -91,6 +92,20 @@ def test_real_cast(spark):
     assert values(spark, X.as_real("v"), ["1.5", "x", None]) == [1.5, None, None]
 
 
+def test_cents_and_money(spark):
+    found = values(spark, X.cents("v"), [3941.97, 0.125, -0.125, 0.0, float("nan"), None],
+                   "float")
+    assert found == [394197, 13, -13, 0, None, None]
+    assert values(spark, X.money("v"), [394197, -13, None], "bigint") == [
+        Decimal("3941.97"), Decimal("-0.13"), None]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(-10**13, 10**13), min_size=1, max_size=50))
+def test_every_amount_keeps_its_cents(spark, amounts):
+    assert values(spark, X.cents("v"), [a / 100 for a in amounts], "double") == amounts
+
+
 def test_full_calendar(spark):
     df = calendar(spark, "2020-01-01", "2026-12-31")
     assert df.count() == 2557

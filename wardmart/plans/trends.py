@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmart.functions.expressions import cents, money
+
 # Weeks start on Monday and are named by their first day: a year plus a week number
 # would put 2021-01-03 into week 53 of 2021.
 GRAINS = {
@@ -17,12 +19,12 @@ GRAINS = {
 def daily_activity(fact: DataFrame) -> DataFrame:
     """Row count, billed rows and revenue per day; at most one row per calendar day.
 
-    Money is summed as a decimal, so the total does not depend on the order of rows.
+    Money is summed as whole cents, so the total does not depend on the order of rows.
     """
     return fact.groupBy("date_id").agg(
         F.count("*").alias("n_appointments"),
         F.count("amount").alias("n_billed"),
-        F.sum(F.col("amount").cast("decimal(18,2)")).alias("revenue"))
+        F.sum(cents("amount")).alias("cents"))
 
 
 def trend(fact: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
@@ -39,4 +41,4 @@ def trend(fact: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
     return days.groupBy(*keys).agg(
         F.sum("n_appointments").alias("n_appointments"),
         F.sum("n_billed").alias("n_billed"),
-        F.sum("revenue").alias("revenue"))
+        money(F.sum("cents")).alias("revenue"))

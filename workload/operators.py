@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from wardmart.functions.calendar import calendar_for
 from wardmart.functions.expressions import (
-    UNKNOWN, address_region, age_in_years, as_date, as_real, date_key, event_timestamp,
-    full_name, run_date, standardize_id, title_clean,
+    UNKNOWN, address_region, age_in_years, as_date, as_real, cents, date_key,
+    event_timestamp, full_name, money, run_date, standardize_id, title_clean,
 )
 from wardmart.operators.impute import (
     deduplicate, drop_empty, fill, fill_constants, not_null,
@@ -180,7 +180,7 @@ def fact_star(spark, sf_dir):
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias("patient_id"),
                  F.col("l_partkey").alias("treatment_id"))
-        .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("amount")))
+        .agg(money(F.sum(cents("l_extendedprice"))).alias("amount")))
     # An order with very many lines would be a hot key; bills are unique by their key.
     hot = measured_hot_keys(
         lines.select(F.col("l_orderkey").alias("appointment_id")), "appointment_id")
