@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from wardmart.functions.calendar import calendar
 from wardmart.sources import files, jdbc
 from wardmart.sources.targets import JdbcTarget, ParquetTarget, load
 
@@ -62,6 +63,14 @@ def test_replace_and_append(spark, tmp_path):
         load(df, target, "t", "id", "upsert")
 
 
+def test_a_longer_calendar_adds_only_new_days(spark, tmp_path):
+    target = ParquetTarget(str(tmp_path))
+    for end in ("2024-01-10", "2024-01-10", "2024-02-05"):
+        load(calendar(spark, "2024-01-01", end), target, "dim_date", "date_id")
+    held = target.read(spark, "dim_date")
+    assert held.count() == held.select("date_id").distinct().count() == 36
+
+
 class Recorder:
     """Stands for a session or a DataFrame and notes what a writer or reader is told."""
 
