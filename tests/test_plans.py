@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from wardmart.operators.joins import left_join, measured_hot_keys
 from wardmart.operators.profile import column_profile
+from wardmart.operators.quality import fk_orphans
+from wardmart.operators.upsert import absent_rows
 from wardmart.plans import gold, silver
 from wardmart.schemas import RAW
 from workload import clinic
@@ -90,6 +92,24 @@ def test_fact_reads_and_shuffles_only_what_it_returns(spark, tmp_path):
     assert "Window" not in text and "Sort " not in text.replace("SortMergeJoin", "")
 
 
+def test_anti_joins_shuffle_each_side_once(spark):
+    """Counting or deduplicating by key leaves the rows where the join needs them."""
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        absent = plan(absent_rows(
+            orders, lines.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", True))
+        orphans = plan(fk_orphans(lines, {
+            "l_orderkey": (orders, "o_orderkey"),
+            "l_suppkey": (spark.read.parquet(f"{SF}/supplier.parquet"), "s_suppkey")}))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert absent.count("Exchange") == orphans.count("Exchange") == 2
+    assert "LeftAnti" in absent and "LeftAnti" in orphans
+    assert "partial_count" in orphans
+
+
 def test_not_null_filter_reaches_the_scan(spark):
     rows = spark.read.parquet(f"{SF}/customer.parquet")
     text = plan(rows.filter(F.col("c_mktsegment").isNotNull()), "formatted")

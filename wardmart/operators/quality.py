@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.operators.profile import grouping_set_ids
-
 
 def pk_violations(df: DataFrame, *key: str) -> DataFrame:
     """Keys that occur more than once or hold a null, with their row counts ``n``."""
@@ -30,23 +28,18 @@ def fk_orphans(fact: DataFrame,
     """Foreign key values without a dimension row: ``fk``, ``key_value``, ``n_rows``.
 
     A null foreign key is allowed. All foreign keys are counted in one pass over the
-    fact, and only distinct values take part in the anti join, so a value that fills a
-    third of the fact is one row there.
+    fact, and only distinct values of both sides take part in the anti join, so a value
+    that fills a third of the fact is one row there. The join needs no further shuffle.
     """
-    names = list(references)
-    counts = fact.groupingSets([[n] for n in names], *names).agg(
-        F.grouping_id().alias("__set"), F.count("*").alias("n_rows"))
-    which = F.coalesce(*[
-        F.when(F.col("__set") == i, F.lit(n))
-        for i, n in zip(grouping_set_ids(len(names)), names, strict=True)])
-    used = counts.select(
-        which.alias("fk"),
-        F.coalesce(*[F.col(n).cast("bigint") for n in names]).alias("key_value"),
-        "n_rows",
-    ).filter(F.col("key_value").isNotNull())
+    keys = fact.select(*[F.col(n).cast("bigint").alias(n) for n in references])
+    used = (
+        keys.unpivot([], list(references), "fk", "key_value")
+        .filter(F.col("key_value").isNotNull())
+        .groupBy("fk", "key_value").agg(F.count("*").alias("n_rows"))
+    )
     known = reduce(DataFrame.unionAll, [
         dim.select(F.lit(n).alias("fk"), F.col(key).cast("bigint").alias("key_value"))
-        for n, (dim, key) in references.items()])
+        for n, (dim, key) in references.items()]).distinct()
     return used.join(known, ["fk", "key_value"], "left_anti")
 
 

@@ -19,9 +19,11 @@ def absent_rows(new: DataFrame, target: DataFrame | None, key: str,
                 unique: bool = False) -> DataFrame:
     """Rows of ``new`` to append to ``target``; only the target's key column is read.
 
-    ``unique=True`` skips the per-key pick when the key is known to be unique.
+    ``unique=True`` skips the per-key pick when the key is known to be unique. The
+    target's keys are made distinct before their shuffle, which the join then reuses, so
+    a key that the target repeats very often does not gather in one task.
     """
     rows = new if unique else one_per_key(new, key)
     if target is None:
         return rows
-    return rows.join(target.select(key), key, "left_anti").select(*new.columns)
+    return rows.join(target.select(key).distinct(), key, "left_anti").select(*new.columns)
