@@ -6,6 +6,7 @@ import pytest
 
 from wardmart.functions.calendar import calendar
 from wardmart.sources import files, jdbc
+from wardmart.sources.shared import shared_folder
 from wardmart.sources.targets import JdbcTarget, ParquetTarget, load
 
 
@@ -128,3 +129,7 @@ def test_jdbc_split_read():
 
 def test_password_is_not_shown():
     assert "secret" not in repr(CONNECTION) + repr(JdbcTarget(CONNECTION))
+
+
+def test_shared_folder_is_the_named_one(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -12,7 +12,8 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = (spark.conf.get("spark.checkpoint.dir", None)
+             or spark.sparkContext.getCheckpointDir())
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
