@@ -1,0 +1,351 @@
+"""Text operators against brute force, on the smallest tables and on made-up edge cases."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from wardmart.llm import langid, ngram_join, quality, queries, secrets, suffix_dedup
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+def frame(spark, texts):
+    """Documents with columns that are named as the operators' own."""
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    for name in ("kept", "n", "key", "rep", "component", "base", "doc", "low", "score", "stats"):
+        df = df.selectExpr("*", f"'x' as {name}")
+    return df
+
+
+def made_up(seed=1):
+    """Near and exact copies, shared passages, short, empty, long and odd texts."""
+    rng = random.Random(seed)
+    words = [a + b for a in "the of and ér ß".split() for b in "ing ton al 日 x".split()]
+    texts = {0: None, 1: "", 2: " \n ", 3: "one", 4: "One", 5: "one two three four", 6: "ONE two\tthree four",
+             7: "one two three four five", 8: "a" * 500, 9: "a" * 300, 10: "ab" * 200, 11: "日本語" * 60, 12: "x " * 200}
+    passage = " ".join(rng.choices(words, k=60))
+    for i in range(13, 90):
+        kind = i % 7
+        body = rng.choices(words, k=rng.choice([6, 9, 12, 15, 25, 60, 200]))
+        if kind == 0 and i > 30:
+            body = (texts[i - 14] or "").split()
+            for _ in range(rng.randint(0, 3)):
+                if body:
+                    body[rng.randrange(len(body))] = "changed"
+        if kind == 1:
+            body = body[:10] + passage.split() + body[10:]
+        if kind == 2 and i > 30:
+            body = (texts[i - 7] or "").split()
+        texts[i] = " ".join(body)
+    base = rng.choices(words, k=150)
+    for i in range(90, 130):  # one large group of near copies
+        body = list(base)
+        body[rng.randrange(150)] = f"w{i}"
+        texts[i] = " ".join(body)
+    return texts
+
+
+# N-gram join
+
+def sets_of(texts):
+    out = {}
+    for i, text in texts.items():
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        w = [x for x in re.split("[\x20\x09-\x0d]+", lower) if x]
+        out[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+    return out
+
+
+def linked(texts):
+    found = sets_of(texts)
+    component = {i: i for i in found}
+    pairs = [(a, b) for a, b in itertools.combinations(sorted(found), 2)
+             if found[a] and found[b] and 100 * len(found[a] & found[b]) >= 80 * len(found[a] | found[b])]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(component[a], component[b])
+            changed |= component[a] != low or component[b] != low
+            component[a] = component[b] = low
+    return {i: (len(found[i]), component[i]) for i in found}
+
+
+def test_ngram_join(spark):
+    texts = made_up()
+    rows = ngram_join.joined(frame(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == linked(texts)
+    assert len(rows) == len(texts)
+
+
+def test_ngram_join_table(spark, documents):
+    rows = queries.QUERIES["op1_ngram_join"](spark, SF).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == linked(documents)
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("frequent", [0.0, 0.5, 1.0])
+def test_signatures_lose_no_pair(seed, frequent):
+    """Sets just alike enough share a signature, whichever shingles are left out."""
+    rng = np.random.default_rng(seed)
+    for size in [1, 2, 3, 4, 5, 6, 8, 9, 10, 12, 13, 14, 17, 20, 30, 47, 80, 200, 501]:
+        for _ in range(8):
+            a = rng.integers(1, 1 << 63, size, dtype=np.uint64)
+            both = -(-80 * size // 100)
+            more = int(rng.integers(0, max(1, (100 * both) // 80 - size + 1))) if both else 0
+            b = np.concatenate([a[:both], rng.integers(1, 1 << 63, more, dtype=np.uint64)])
+            inter, union = len(set(a) & set(b)), len(set(a) | set(b))
+            assert 100 * inter >= 80 * union
+            left = np.sort(np.concatenate([a, b]))[:int(frequent * len(a))]
+            hashes, rows = np.concatenate([np.sort(a), np.sort(b)]), np.repeat([0, 1], [len(a), len(b)])
+            row, found = ngram_join.signatures_of(hashes, rows, 2, np.unique(left))
+            assert set(found[row == 0]) & set(found[row == 1]), (size, more)
+
+
+def test_ngram_join_odd_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert ngram_join.joined(none).count() == 0
+    twice = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, None)], "doc_id long, text string")
+    rows = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.joined(twice).collect()), key=str)
+    assert rows == sorted([(1, 2, 1), (1, 2, 1), (None, 2, 1), (2, 0, 2)], key=str)
+
+
+# Suffixes
+
+def cut(texts):
+    seen, out = set(), {}
+    for i in sorted(texts):
+        data = (texts[i] or "").encode()
+        gone = np.zeros(len(data), bool)
+        for p in range(len(data) - 99):
+            window = data[p:p + 100]
+            if window in seen:
+                gone[p:p + 100] = True
+            seen.add(window)
+        runs = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        out[i] = (len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def test_suffixes(spark, monkeypatch):
+    texts = made_up(2)
+    expected = cut(texts)
+    for together in (200_000, 3):
+        monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+        rows = suffix_dedup.deduplicated(frame(spark, texts)).collect()
+        found = {r.doc_id: (len((texts[r.doc_id] or "").encode()), r.n_removed, r.n_spans,
+                            hashlib.sha256(bytes(r.kept)).hexdigest()) for r in rows}
+        assert found == expected
+
+
+def test_suffixes_in_blocks(monkeypatch):
+    """Anchors of a long text seen in blocks hold each window once."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 700)
+    data = np.random.default_rng(1).integers(97, 101, 5000).astype(np.uint8)
+    seen = []
+    for *_, low, extent in suffix_dedup.anchors(data, np.array([0, 150, 150, 4100, 5000])):
+        seen += [low + x for low, n in zip(low, extent) for x in range(n + 1)]
+    assert sorted(seen) == sorted([*range(51), *range(3851), *range(801)])
+
+
+def test_suffixes_table(spark, documents):
+    rows = queries.QUERIES["op6_suffix_dedup"](spark, SF).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == cut(documents)
+
+
+def test_suffixes_odd_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert suffix_dedup.deduplicated(none).count() == 0
+    text = "".join(random.Random(1).choices("abcdef ", k=300))
+    rows = spark.createDataFrame([(2, text), (2, text), (None, text), (5, text), (6, None)], "doc_id long, text string")
+    found = sorted(((r.doc_id, r.n_removed) for r in suffix_dedup.deduplicated(rows).collect()), key=str)
+    assert found == sorted([(2, 0), (2, 0), (None, 0), (5, 300), (6, 0)], key=str)
+
+
+def test_multikey_is_lexsort():
+    rng = np.random.default_rng(0)
+    for top in (2, 5, 1000):
+        columns = [rng.integers(0, top, 2000).astype(np.uint64) for _ in range(4)]
+        order = suffix_dedup.multikey(columns)
+        expected = np.lexsort(columns[::-1])
+        for c in columns:
+            assert (c[order] == c[expected]).all()
+
+
+# Secrets
+
+def base_spans(text):
+    found = []
+    for kind, pattern, fine in (
+            ("assign", r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+             lambda m: len(m[1]) >= 6),
+            ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 24)):
+        flags = re.IGNORECASE | re.ASCII if kind == "assign" else 0
+        found += [(m.start(), m.end(), kind) for m in re.finditer(pattern, text, flags) if fine(m)]
+    return sorted(found, key=lambda s: (s[0], secrets.KINDS.index(s[2])))
+
+
+def test_secrets_table(spark, documents):
+    for r in queries.QUERIES["op7_secrets"](spark, SF).collect():
+        found = base_spans(documents[r.doc_id] or "")
+        joined = ",".join(f"{k}:{s}:{e}" for s, e, k in found)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(x[2] == k for x in found) for k in secrets.KINDS)
+        assert set(joined.split(",")) <= set(r.spans.split(","))
+
+
+def test_base_scan():
+    rng = random.Random(4)
+    parts = ["token", "PassWord", "api_key", "apikey", "secret", "=", ": ", '"', "'", " ", "abcdef", "AKIA", "Z9", "é",
+             "0123456789abcdef", "deadbeef", "/", "-", "ſecret=abcdefgh", "日"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=14))
+        base, spans = secrets.spans(text)
+        assert base == base_spans(text)
+        assert set(base) <= set(spans)
+
+
+SECRET = 'password = "hunter2hunter2"'
+
+
+def _nestings():
+    b64 = base64.b64encode
+    yield b64(SECRET.encode()).decode()
+    yield base64.urlsafe_b64encode(SECRET.encode() + "ÿþ".encode()).decode()
+    yield b64(b64(SECRET.encode())).decode()
+    yield b64(gzip.compress(SECRET.encode() * 3)).decode()
+    yield "".join(f"%{b:02x}" for b in SECRET.encode())
+    yield "".join(f"%25{b:02X}" for b in SECRET.encode())
+    yield "".join(f"\\u{ord(c):04x}" for c in SECRET)
+    yield "".join(f"&#{ord(c)};" for c in SECRET)
+    yield "".join(f"%{b:02X}" for b in b64(gzip.compress(b64(SECRET.encode()))))
+
+
+@pytest.mark.parametrize("text", list(_nestings()))
+def test_nested(text):
+    for before in ("", "é prose ", "x\n"):
+        base, spans = secrets.spans(f"{before}{text} after")
+        inside = [s for s in spans if s not in base and s[2] == "assign"]
+        assert inside
+        assert all(len(before) <= s < e <= len(before) + len(text) for s, e, _ in inside)
+
+
+def test_exact_places_inside():
+    text = "é a%20to%6ben%3dabcdefgh z"
+    assert (4, 24, "assign") in [(s, e, k) for s, e, k in secrets.spans(text)[1]] or \
+        [text[s:e] for s, e, k in secrets.spans(text)[1] if k == "assign"] == ["to%6ben%3dabcdefgh"]
+
+
+def test_secret_ends_and_odd(spark):
+    assert secrets.spans("") == ([], [])
+    secrets.spans("\\ud800 %ff%fe &#99999999; \\x80 " + "A" * 5000)
+    df = spark.createDataFrame([(1, None, "q"), (2, "", "q"), (3, "token=abcdefg", "q")], "doc_id long, text string, spans string")
+    assert {r.doc_id: len(r.spans) for r in secrets.scanned(df).collect()} == {1: 0, 2: 0, 3: 1}
+    assert [r.text for r in secrets.redacted(df).orderBy("doc_id").collect()] == [None, "", "[secret]"]
+
+
+# Language and quality
+
+def test_forward_sums_all_segmentations():
+    vocab = langid.vocabulary(queries.LANGUAGE_PIECES)
+    words = [b"thing", b"a", "été".encode(), b"ononon"]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    prefixes = langid.Prefixes(data)
+    lat = langid.lattice(prefixes, ends - [len(w) for w in words], ends, vocab)
+    p = np.random.default_rng(0).random((len(vocab), 2))
+    found = langid.forward(lat, p[lat.piece])[lat.last]
+    for w, word in enumerate(words):
+        total = np.zeros(2)
+        for cuts in itertools.product([0, 1], repeat=len(word) - 1):
+            at = [0, *[i + 1 for i, c in enumerate(cuts) if c], len(word)]
+            low = ends[w] - len(word)
+            ids = vocab.find(prefixes.spans(low + np.array(at[:-1]), low + np.array(at[1:])))
+            if (ids >= 0).all():
+                total += p[ids].prod(axis=0)
+        assert np.allclose(found[w], total)
+
+
+def test_languages(spark, documents):
+    rows = queries.QUERIES["op4_language"](spark, "/root/testdata/sf0.01").collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == len(truth) and 150 < len(held) < 350
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_odd(spark):
+    df = spark.createDataFrame([(1, None, "en"), (2, "123 !", "en"), (3, "the", None), (4, "été " * 900, "fr"),
+                                (5, "the and " * 900, "en")],
+                               "doc_id long, text string, lang string")
+    model = langid.fit(df, queries.LANGUAGE_PIECES)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, model).collect()}
+    assert found[1] == found[2] == ("und", 0.0)
+    assert found[4][0] == "fr" and found[3][0] == "en"
+    none = langid.fit(df.where("false"), queries.LANGUAGE_PIECES)
+    assert {r.lang_pred for r in langid.predict(df, none).collect()} == {"und"}
+
+
+def test_quality(spark):
+    rows = queries.QUERIES["op2_quality"](spark, "/root/testdata/sf0.1").collect()
+    truth = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    held = [r for r in rows if r.held_out and r.doc_id in truth]
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.97
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+
+
+def test_quality_odd(spark):
+    docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "a b", "x")], "doc_id long, text string, stats string")
+    stats = quality.described(docs)
+    labels = spark.createDataFrame([(1, 1), (3, 1), (9, 0)], "doc_id long, quality int")
+    assert {r.score for r in quality.scored(stats, quality.fit(stats, labels)).collect()} <= {0.999 + 0.001 / (1 + np.exp(2)), 1.0}
+    assert quality.scored(stats, quality.fit(stats, labels.where("false"))).count() == 3
+    assert quality.isotonic(np.array([0.1, 0.5, 0.3, 0.9, 0.2]), np.ones(5)).tolist() == pytest.approx(
+        [0.1, 0.4, 0.4, 0.55, 0.55])
+
+
+# Pipeline
+
+def test_pipeline(spark, documents):
+    """Each stage against brute force on what the one before it left."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = corpus_pipeline.language(spark, docs, SF)
+    before = {r.doc_id: r.text for r in kept.collect()}
+    assert kept.columns == docs.columns and len(before) > 0.97 * len(documents)
+    one = corpus_pipeline.near_duplicates(spark, kept, SF)
+    after = {r.doc_id: r.text for r in one.collect()}
+    assert after == {i: before[i] for i, (_, c) in linked(before).items() if i == c}
+    shorter = corpus_pipeline.repeats(spark, one, SF)
+    left = {r.doc_id: r for r in shorter.collect()}
+    expected = cut(after)
+    for i, r in left.items():
+        assert r.n_chars == len(r.text)
+        if expected[i][1] == 0:
+            assert r.text == after[i]
+        else:
+            assert len(r.text.encode()) <= expected[i][0] - expected[i][1]
+    clean = {r.doc_id: r.text for r in corpus_pipeline.redact(spark, shorter, SF).collect()}
+    assert set(clean) == set(left)
+    for i, text in clean.items():
+        assert not secrets.spans(text)[1] or "[secret]" in text
+        if not secrets.spans(left[i].text)[1]:
+            assert text == left[i].text
+    assert shorter.columns == docs.columns
+    rows = corpus_pipeline.run(spark, SF)
+    assert {r.doc_id for r in rows.select("doc_id").distinct().collect()} == set(clean)
