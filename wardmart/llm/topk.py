@@ -87,26 +87,21 @@ def top(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
     queries = rows.where("asks").select(
         "vec_id", "embedding", "dim", F.pmod(row_hash, F.lit(asking)).cast("long").alias("q"),
-        F.explode(numbers(slots)).alias("slot"))
+        F.explode(numbers(slots)).alias("slot"), F.lit(True).alias("asks"))
     candidates = rows.select(
-        "vec_id", "embedding", "dim", F.pmod(row_hash, F.lit(slots)).cast("long").alias("slot"),
-        F.explode(numbers(asking)).alias("q"))
-
-    def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, others = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
-        query, score, candidate = (np.empty(0, np.int64),) * 3
-        slot = 0
-        if len(ids) and len(others):
-            slot = right.column("slot")[0].as_py()
-            query, score, candidate = _tile(
-                scaled(matrix(left.column("embedding"))), ids, scaled(matrix(right.column("embedding"))), others, k)
-            query = ids[query]
+        "vec_id", "embedding", "dim", F.explode(numbers(asking)).alias("q"),
+        F.pmod(row_hash, F.lit(slots)).cast("long").alias("slot"), F.lit(False).alias("asks"))
+
+    def tile(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        ids, values = table.column("vec_id").to_numpy(), scaled(matrix(table.column("embedding")))
+        query, score, candidate = _tile(values[asks], ids[asks], values[~asks], ids[~asks], k)
         return pa.table({
-            "query_id": pa.array(query, pa.int64()), "vec_id": pa.array(candidate, pa.int64()),
-            "score": pa.array(score, pa.int64()), "slot": pa.array(np.full(len(query), slot))})
+            "query_id": pa.array(ids[asks][query], pa.int64()), "vec_id": pa.array(candidate, pa.int64()),
+            "score": pa.array(score, pa.int64()),
+            "slot": pa.array(np.full(len(query), table.column("slot")[0].as_py()))})
 
-    keys = ("dim", "q", "slot")
-    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(tile, _FOUND)
+    found = queries.unionByName(candidates).groupBy("dim", "q", "slot").applyInArrow(tile, _FOUND)
     order = (F.desc("score"), F.col("vec_id"))
     while slots > FAN:
         slots = -(-slots // FAN)
