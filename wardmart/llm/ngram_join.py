@@ -14,10 +14,14 @@ only meet those of other thin sets. Shingles that are very frequent in a bounded
 left out of the first signatures (two sets differ no more without them); sets that mostly
 consist of such shingles are thin. Neither changes which pairs are found.
 
-Sets that share a signature are compared with the member of the group that shares most with
-others; members that are then in one component need no further comparison, the others are
-compared in rounds until none is left. So every link that connects two components is found
-and verified on the whole sets, and no group is ever written out as all its pairs.
+Sets that share a signature are first compared with the member of the group that shares most
+with others, which joins groups of near copies into one component each. Then, in groups that
+still hold several components, sets of different ones are compared in tiles of bounded size.
+Both comparisons begin with parity sketches (a bit for each hash value, turned over by each
+shingle: two sketches differ in no more bits than the sets in shingles), which rule out nearly
+all sets that only share a passage; what is left is verified on the whole sets. For each two
+components the closest pairs are tried, and more of them in a next round if these fail, so no
+group is ever written out as all its pairs and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -43,8 +47,10 @@ PERCENT = 80
 #: (in thousandths) a shingle must be to count as frequent.
 SAMPLE = 4000
 FREQUENT = 5
-#: Pairs of classes that one round compares, about.
-ROUND_PAIRS = 2_000_000
+#: Sets on one side of a tile.
+TILE = 1024
+#: Pairs of two components that the first round verifies; each later one eight times as many.
+TRIED = 4
 
 _STEP = np.uint64(0x9DDFEA08EB382D69)
 _LEVELS, _OUT = 2, 1  # second-level parts, and how many of them a subset leaves out
@@ -344,23 +350,137 @@ def groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 # Links
 
-def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b of doc_id) whose sets, in ``found``, are alike enough."""
+def _bits(n: int) -> int:
+    return max(64, 1 << (n - 1).bit_length()) if n else 64
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc_id, n and ``sketch``: the parity of the number of shingles at each of its bits."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, hashes, rows in _each(batch.column("text")):
+                size = np.bincount(rows, minlength=j - i)
+                bits = np.array([_bits(n) for n in size.tolist()], np.int64)
+                ends = np.cumsum(bits)
+                at = (mixed(hashes + np.uint64(9)) & (bits[rows] - 1).astype(np.uint64)).astype(np.int64)
+                odd = np.bincount((ends - bits)[rows] + at, minlength=int(ends[-1])) & 1
+                packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+                parts = [packed[(e - b) // 8:e // 8] for e, b in zip(ends.tolist(), bits.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(i, j - i), pa.array(size), pa.array(parts, pa.binary())],
+                    names=["doc_id", "n", "sketch"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, sketch binary")
+
+
+def _folded(sketch: bytes, size: int) -> bytes:
+    while len(sketch) > size:
+        half = len(sketch) // 2
+        both = int.from_bytes(sketch[:half], "little") ^ int.from_bytes(sketch[half:], "little")
+        sketch = both.to_bytes(half, "little")
+    return sketch
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches and sizes allow that they are alike."""
+    for batch in batches:
+        keep = []
+        for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "nx", "ny"))):
+            size = min(len(x), len(y))
+            x, y = (int.from_bytes(_folded(s, size), "little") for s in (x, y))
+            keep.append((x ^ y).bit_count() * (100 + PERCENT) <= (n + m) * (100 - PERCENT))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
+
+
+def _sizes_fit(n, m):
+    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+
+
+def star_pairs(members: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Each group's first member with each other one, if their sketches allow it."""
+    kind = members.schema["doc_id"].dataType.simpleString()
+    first = members.where("place = 1").select("grp", F.col("doc_id").alias("a"))
+    pairs = first.join(members.where("place > 1").select("grp", F.col("doc_id").alias("b")), "grp")
+    pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left = drawn.toDF("a", "nx", "x")
+    right = drawn.toDF("b", "ny", "y")
+    return (pairs.join(left, "a").join(right, "b").where(_sizes_fit(F.col("nx"), F.col("ny")))
+            .mapInArrow(_possible, f"a {kind}, b {kind}").distinct())
+
+
+def _tile_pairs(kind: str, tried: int):
+    def run(table: pa.Table) -> pa.Table:
+        own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
+        n = table.column("n").to_numpy()
+        _, component = np.unique(table.column("component").to_numpy(), return_inverse=True)
+        drawn = table.column("sketch").to_pylist()
+        size = min(map(len, drawn))
+        bits = np.frombuffer(b"".join(_folded(s, size) for s in drawn), np.uint64).reshape(len(drawn), -1)
+        a = np.flatnonzero(own == i)
+        b = a if i[0] == j[0] else np.flatnonzero(own == j)
+        found = []
+        step = max(1, (1 << 22) // max(1, len(b) * bits.shape[1]))
+        for at in range(0, len(a), step):
+            x = a[at:at + step]
+            unlike = np.bitwise_count(bits[x][:, None] ^ bits[b][None]).sum(axis=2, dtype=np.int64)
+            both = n[x][:, None] + n[b][None]
+            fit = 100 * np.minimum(n[x][:, None], n[b][None]) >= PERCENT * np.maximum(n[x][:, None], n[b][None])
+            fit &= unlike * (100 + PERCENT) <= both * (100 - PERCENT)
+            fit &= component[x][:, None] != component[b][None]
+            p, q = np.nonzero(fit)
+            found.append(np.stack([x[p], b[q], unlike[p, q]]))
+        p, q, unlike = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
+        low, high = np.minimum(component[p], component[q]), np.maximum(component[p], component[q])
+        order = np.lexsort((q, p, unlike, high, low))
+        p, q, low, high = p[order], q[order], low[order], high[order]
+        new = np.ones(len(p), bool)
+        new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        first = np.flatnonzero(new)
+        rank = np.arange(len(p)) - (first[np.cumsum(new) - 1] if len(p) else 0)
+        keep = rank < tried
+        left = np.append(first[1:], len(p)) - first > tried
+        more = left[np.cumsum(new) - 1][keep] if len(p) else np.empty(0, bool)
+        ids = table.column("doc_id")
+        return pa.table({"a": ids.take(pa.array(p[keep])), "b": ids.take(pa.array(q[keep])), "more": pa.array(more)})
+    return run
+
+
+def open_pairs(members: DataFrame, known: DataFrame, drawn: DataFrame, tried: int) -> DataFrame:
+    """Pairs a, b of sets in one group but different components that may be alike.
+
+    For each two components of a tile the ``tried`` closest; ``more`` says if there are others.
+    """
+    kind = members.schema["doc_id"].dataType.simpleString()
+    now = (members.join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+           .withColumn("component", F.coalesce("component", "doc_id")))
+    still = now.groupBy("grp").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x <> y")
+    tiles = F.ceil(F.col("size") / TILE)
+    dealt = (
+        now.join(still.select("grp", "size"), "grp").join(drawn, "doc_id")
+        .withColumn("own", F.pmod(F.xxhash64("doc_id"), tiles))
+        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1))))
+    return (dealt.select("grp", "doc_id", "n", "component", "sketch", "own",
+                         F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
+            .groupBy("grp", "i", "j").applyInArrow(_tile_pairs(kind, tried), f"a {kind}, b {kind}, more boolean")
+            .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more")))
+
+
+def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b of doc_id) whose whole sets are alike enough."""
+    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b"))
+    found = written(sets(among(docs, ends, "doc_id")), "sets")
     left = found.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = found.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - both
-    return (pairs.join(left, "a").join(right, "b")
+    return (pairs.select("a", "b").join(left, "a").join(right, "b")
             .where(100 * both.cast("long") >= PERCENT * union.cast("long")).select("a", "b"))
 
 
-def _with_component(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    if found is None:
-        return members.withColumn("component", F.col("doc_id"))
-    return (members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .withColumn("component", F.coalesce("component", "doc_id")))
-
-
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 
@@ -374,41 +494,25 @@ def joined(docs: DataFrame) -> DataFrame:
     one = written(named.groupBy("key", "key2", "n_shingles").agg(F.min("doc_id").alias("rep")), "reps")
     members = groups(docs, frequent_shingles(docs, n))
     members = written(
-        members.join(one.select("key", F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n")), "key")
-        .select("grp", "place", "doc_id", "n"), "members")
-    candidates = members.select("doc_id").distinct()
-    whole = written(sets(among(docs, candidates, "doc_id")).dropDuplicates(["doc_id"]), "sets")
-    links, known, done = None, None, 1
-    rows = members.count()
-    while rows:
-        # Groups whose members are not yet all in one component, and have members to compare with.
-        now = _with_component(members, known)
-        open_groups = (now.groupBy("grp").agg(F.min("component").alias("x"), F.max("component").alias("y"),
-                                              F.max("place").alias("size"))
-                       .where((F.col("x") != F.col("y")) & (F.col("size") > done)).select("grp"))
-        left = written(now.join(open_groups, "grp"), "open")
-        rows = left.count()
-        if not rows:
+        members.join(one.select("key", F.col("rep").alias("doc_id")), "key").select("grp", "place", "doc_id"),
+        "members")
+    drawn = written(sketches(among(docs, members, "doc_id")), "sketches")
+    links = written(verified(docs, written(star_pairs(members, drawn), "pairs")), "links")
+    known = written(components(links), "components")
+    tried = TRIED
+    while True:
+        pairs = written(open_pairs(members, known, drawn, tried), "pairs")
+        if pairs.isEmpty():
             break
-        take = 1 if known is None else int(max(8, min(512, ROUND_PAIRS // rows)))
-        pivot = left.where((F.col("place") >= done) & (F.col("place") < done + take)).select(
-            "grp", F.col("place").alias("p"), F.col("doc_id").alias("a"), F.col("n").alias("na"),
-            F.col("component").alias("ca"))
-        other = left.select("grp", "place", F.col("doc_id").alias("b"), "n", "component")
-        pairs = (
-            pivot.join(other, "grp").where("place > p and ca <> component")
-            .where(100 * F.least("n", "na") >= PERCENT * F.greatest("n", "na"))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        new = written(verified(pairs, whole), "links")
-        links = new if links is None else links.unionAll(new)
+        new = written(verified(docs, pairs), "links")
+        links = links.unionAll(new)
         known = written(components(links), "components")
-        done += take
+        if pairs.where("more").isEmpty():
+            break
+        tried *= 8
     rep = one.select("key", "key2", "rep")
     out = found.join(rep, ["key", "key2"], "left")
-    if known is not None:
-        out = out.join(known.withColumnRenamed("node", "rep"), "rep", "left")
-    else:
-        out = out.withColumn("component", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    out = out.join(known.withColumnRenamed("node", "rep"), "rep", "left")
     alone = F.col("n_shingles") == 0
     return out.select(
         "doc_id", "n_shingles",
