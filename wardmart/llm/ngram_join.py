@@ -15,8 +15,9 @@ left out of the first signatures (two sets differ no more without them); sets th
 consist of such shingles are thin. Neither changes which pairs are found.
 
 Sets that share a signature are first compared with the member of the group that shares most
-with others, which joins groups of near copies into one component each. Then, in groups that
-still hold several components, sets of different ones are compared in tiles of bounded size.
+with others, their lead, which joins groups of near copies into one component each. Then, if
+the sets with one lead still belong to several components, sets of different ones are compared
+in tiles of bounded size.
 Both comparisons begin with parity sketches (a bit for each hash value, turned over by each
 shingle: two sketches differ in no more bits than the sets in shingles), which rule out nearly
 all sets that only share a passage; what is left is verified on the whole sets. For each two
@@ -49,8 +50,10 @@ SAMPLE = 4000
 FREQUENT = 5
 #: Sets on one side of a tile.
 TILE = 1024
-#: Pairs of two components that the first round verifies; each later one eight times as many.
+#: Pairs of two components that the first round verifies; each later one sixteen times as many.
 TRIED = 4
+#: Bits of a parity sketch for each shingle: half of these to all. More rule out more pairs.
+SKETCH_BITS = 8
 
 _STEP = np.uint64(0x9DDFEA08EB382D69)
 _LEVELS, _OUT = 2, 1  # second-level parts, and how many of them a subset leaves out
@@ -327,9 +330,9 @@ def batches_of(spark, rows: int):
 
 
 def groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """grp, key, place: keys of sets that share signatures; equal groups are given once.
+    """lead, key: keys of sets that share signatures, by the one that shares most with others.
 
-    ``place`` counts a group's members from the one that shares most with others.
+    Two sets that share a signature have some lead in common; a lead is among its own.
     """
     spark = docs.sparkSession
     signed = docs.select("text").mapInArrow(_signer(frequent), "key long, signatures array<long>")
@@ -344,14 +347,15 @@ def groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     kept = written(members.join(one.select("signature", "n"), "signature"), "groups")
     degree = kept.groupBy("key").agg(F.sum("n").alias("degree"))
     place = F.row_number().over(Window.partitionBy("signature").orderBy(F.desc("degree"), "key"))
-    return written(kept.join(degree, "key").select(
-        F.col("signature").alias("grp"), "key", place.alias("place")), "places")
+    placed = written(kept.join(degree, "key").select("signature", "key", place.alias("place")), "places")
+    first = placed.where("place = 1").select("signature", F.col("key").alias("lead"))
+    return placed.join(first, "signature").select("lead", "key").distinct()
 
 
 # Links
 
 def _bits(n: int) -> int:
-    return max(64, 1 << (n - 1).bit_length()) if n else 64
+    return max(256, 1 << (SKETCH_BITS * n).bit_length() - 1)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -400,11 +404,10 @@ def _sizes_fit(n, m):
 
 
 def star_pairs(members: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Each group's first member with each other one, if their sketches allow it."""
+    """Each lead with each other set of its own, if their sketches allow it."""
     kind = members.schema["doc_id"].dataType.simpleString()
-    first = members.where("place = 1").select("grp", F.col("doc_id").alias("a"))
-    pairs = first.join(members.where("place > 1").select("grp", F.col("doc_id").alias("b")), "grp")
-    pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = members.where("lead <> doc_id").select(
+        F.least("lead", "doc_id").alias("a"), F.greatest("lead", "doc_id").alias("b")).distinct()
     left = drawn.toDF("a", "nx", "x")
     right = drawn.toDF("b", "ny", "y")
     return (pairs.join(left, "a").join(right, "b").where(_sizes_fit(F.col("nx"), F.col("ny")))
@@ -449,23 +452,23 @@ def _tile_pairs(kind: str, tried: int):
 
 
 def open_pairs(members: DataFrame, known: DataFrame, drawn: DataFrame, tried: int) -> DataFrame:
-    """Pairs a, b of sets in one group but different components that may be alike.
+    """Pairs a, b of sets with one lead but of different components that may be alike.
 
     For each two components of a tile the ``tried`` closest; ``more`` says if there are others.
     """
     kind = members.schema["doc_id"].dataType.simpleString()
     now = (members.join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left")
            .withColumn("component", F.coalesce("component", "doc_id")))
-    still = now.groupBy("grp").agg(
+    still = now.groupBy("lead").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x <> y")
     tiles = F.ceil(F.col("size") / TILE)
     dealt = (
-        now.join(still.select("grp", "size"), "grp").join(drawn, "doc_id")
+        now.join(still.select("lead", "size"), "lead").join(drawn, "doc_id")
         .withColumn("own", F.pmod(F.xxhash64("doc_id"), tiles))
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1))))
-    return (dealt.select("grp", "doc_id", "n", "component", "sketch", "own",
+    return (dealt.select("lead", "doc_id", "n", "component", "sketch", "own",
                          F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-            .groupBy("grp", "i", "j").applyInArrow(_tile_pairs(kind, tried), f"a {kind}, b {kind}, more boolean")
+            .groupBy("lead", "i", "j").applyInArrow(_tile_pairs(kind, tried), f"a {kind}, b {kind}, more boolean")
             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more")))
 
 
@@ -493,8 +496,10 @@ def joined(docs: DataFrame) -> DataFrame:
     named = found.where("n_shingles > 0 and doc_id is not null")
     one = written(named.groupBy("key", "key2", "n_shingles").agg(F.min("doc_id").alias("rep")), "reps")
     members = groups(docs, frequent_shingles(docs, n))
+    rep = one.select("key", F.col("rep").alias("doc_id"))
+    lead = one.select(F.col("key").alias("lead"), F.col("rep").alias("lead_id"))
     members = written(
-        members.join(one.select("key", F.col("rep").alias("doc_id")), "key").select("grp", "place", "doc_id"),
+        members.join(rep, "key").join(lead, "lead").select(F.col("lead_id").alias("lead"), "doc_id").distinct(),
         "members")
     drawn = written(sketches(among(docs, members, "doc_id")), "sketches")
     links = written(verified(docs, written(star_pairs(members, drawn), "pairs")), "links")
@@ -509,7 +514,7 @@ def joined(docs: DataFrame) -> DataFrame:
         known = written(components(links), "components")
         if pairs.where("more").isEmpty():
             break
-        tried *= 8
+        tried *= 16
     rep = one.select("key", "key2", "rep")
     out = found.join(rep, ["key", "key2"], "left")
     out = out.join(known.withColumnRenamed("node", "rep"), "rep", "left")
