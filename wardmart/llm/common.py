@@ -16,7 +16,7 @@ from wardmart.sources.shared import shared_folder
 #: long map, about 30 MB). Larger tables are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that numpy looks at in one go.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

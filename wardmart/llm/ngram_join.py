@@ -414,7 +414,24 @@ def star_pairs(members: DataFrame, drawn: DataFrame) -> DataFrame:
             .mapInArrow(_possible, f"a {kind}, b {kind}").distinct())
 
 
-def _tile_pairs(kind: str, tried: int):
+def _closest(pairs: np.ndarray, component: np.ndarray, tried: int) -> np.ndarray:
+    """Of pairs (two places, distance, whether others were left out) each two components' closest."""
+    p, q, unlike, _ = pairs
+    low, high = np.minimum(component[p], component[q]), np.maximum(component[p], component[q])
+    order = np.lexsort((q, p, unlike, high, low))
+    pairs, low, high = pairs[:, order], low[order], high[order]
+    if not len(low):
+        return pairs
+    new = np.ones(len(low), bool)
+    new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    first, group = np.flatnonzero(new), np.cumsum(new) - 1
+    keep = np.arange(len(low)) - first[group] < tried
+    more = np.bincount(group, ~keep | (pairs[3] > 0)) > 0
+    pairs[3] = more[group]
+    return pairs[:, keep]
+
+
+def _tile_pairs(tried: int):
     def run(table: pa.Table) -> pa.Table:
         own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
         n = table.column("n").to_numpy()
@@ -424,30 +441,21 @@ def _tile_pairs(kind: str, tried: int):
         bits = np.frombuffer(b"".join(_folded(s, size) for s in drawn), np.uint64).reshape(len(drawn), -1)
         a = np.flatnonzero(own == i)
         b = a if i[0] == j[0] else np.flatnonzero(own == j)
-        found = []
-        step = max(1, (1 << 22) // max(1, len(b) * bits.shape[1]))
+        kept = np.empty((4, 0), np.int64)
+        step = max(1, (1 << 19) // max(1, len(b) * bits.shape[1]))
         for at in range(0, len(a), step):
             x = a[at:at + step]
-            unlike = np.bitwise_count(bits[x][:, None] ^ bits[b][None]).sum(axis=2, dtype=np.int64)
+            unlike = np.bitwise_count(bits[x][:, None] ^ bits[b][None]).sum(axis=2, dtype=np.int32)
             both = n[x][:, None] + n[b][None]
             fit = 100 * np.minimum(n[x][:, None], n[b][None]) >= PERCENT * np.maximum(n[x][:, None], n[b][None])
             fit &= unlike * (100 + PERCENT) <= both * (100 - PERCENT)
             fit &= component[x][:, None] != component[b][None]
             p, q = np.nonzero(fit)
-            found.append(np.stack([x[p], b[q], unlike[p, q]]))
-        p, q, unlike = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
-        low, high = np.minimum(component[p], component[q]), np.maximum(component[p], component[q])
-        order = np.lexsort((q, p, unlike, high, low))
-        p, q, low, high = p[order], q[order], low[order], high[order]
-        new = np.ones(len(p), bool)
-        new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-        first = np.flatnonzero(new)
-        rank = np.arange(len(p)) - (first[np.cumsum(new) - 1] if len(p) else 0)
-        keep = rank < tried
-        left = np.append(first[1:], len(p)) - first > tried
-        more = left[np.cumsum(new) - 1][keep] if len(p) else np.empty(0, bool)
+            found = np.stack([x[p], b[q], unlike[p, q], np.zeros(len(p), np.int64)])
+            kept = _closest(np.concatenate([kept, found], axis=1), component, tried)
+        p, q, _, more = kept
         ids = table.column("doc_id")
-        return pa.table({"a": ids.take(pa.array(p[keep])), "b": ids.take(pa.array(q[keep])), "more": pa.array(more)})
+        return pa.table({"a": ids.take(pa.array(p)), "b": ids.take(pa.array(q)), "more": pa.array(more > 0)})
     return run
 
 
@@ -468,7 +476,7 @@ def open_pairs(members: DataFrame, known: DataFrame, drawn: DataFrame, tried: in
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1))))
     return (dealt.select("lead", "doc_id", "n", "component", "sketch", "own",
                          F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-            .groupBy("lead", "i", "j").applyInArrow(_tile_pairs(kind, tried), f"a {kind}, b {kind}, more boolean")
+            .groupBy("lead", "i", "j").applyInArrow(_tile_pairs(tried), f"a {kind}, b {kind}, more boolean")
             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more")))
 
 
