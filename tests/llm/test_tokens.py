@@ -58,6 +58,7 @@ def test_no_rows(spark):
 def test_word_ids_are_the_library_s():
     rng = random.Random(3)
     texts = [t or "" for t in ODD]
+    texts += ["Word. word, WORD.. É. été, ª º. ß, a\x01b \x01 .", "\x01", "x\x01", "., . ,", "don't. it's,"]
     texts += ["".join(chr(rng.choice((rng.randrange(32, 0x250), rng.randrange(32, 127))))
                       for _ in range(60)) for _ in range(600)]
     t = packing.tokenizer(WORD_BPE)

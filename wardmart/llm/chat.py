@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardmart.llm.common import written
+
 BLOCK = 1024
 # How a turn is written.
 OPEN, MIDDLE, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
@@ -69,7 +71,7 @@ def maximal(found: DataFrame) -> DataFrame:
 
 def formatted(turns: DataFrame) -> DataFrame:
     """conv_id, place, turn, role, rendered, and start_char of each turn of the maximal conversations."""
-    found = placed(turns)
+    found = written(placed(turns), "turns")
     kept = found.join(maximal(found), "conv_id", "left_semi")
     rendered = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit(MIDDLE), F.coalesce("text", F.lit("")), F.lit(CLOSE))
     rows = kept.withColumn("rendered", rendered).withColumn("size", F.length("rendered").cast("long"))

@@ -24,10 +24,12 @@ CAPACITY = 4096
 #: Pieces that one task packs together.
 BUNDLE = 50_000
 #: Words whose ids a worker remembers.
-WORDS = 1_000_000
+WORDS = 1_500_000
 
 #: Separators that not every library counts as white space. Texts with them are encoded whole.
 DOUBTFUL = "\x1c\x1d\x1e\x1f"
+#: A character that is one token of its own.
+MARK = "\x01"
 
 
 @cache
@@ -42,6 +44,15 @@ def tokenizer(path: str):
     return found
 
 
+def _lower(text: str) -> str:
+    """Lower case where all rules agree on it: if there are only Latin-1 characters."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class WordIds:
     """Ids of texts, by words between white space that were encoded before.
 
@@ -51,20 +62,47 @@ class WordIds:
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
         self.known: dict[str, bytes] = {}
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.signs = dict(zip(".,", self._whole([".", ","])))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        """Ids from the library; many texts go as one, with a mark between that none has."""
+        marked = [i for i, t in enumerate(texts) if MARK in t]
+        parts = [[t for t in texts[at:at + 1000] if MARK not in t] for at in range(0, len(texts), 1000)]
+        rows = self.tokenizer.encode_batch_fast(
+            [f" {MARK} ".join([*p, ""]) for p in parts] + [texts[i] for i in marked], add_special_tokens=False)
+        alone = {i: np.array(e.ids, "<u4").tobytes() for i, e in zip(marked, rows[len(parts):])}
+        out = []
+        for part, found in zip(parts, rows):
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark).tolist()
+            data = ids.tobytes()
+            out += [data[4 * s:4 * e] for s, e in zip([0, *(e + 1 for e in ends)], ends)]
+        if alone:
+            plain = iter(out)
+            out = [alone[i] if i in alone else next(plain) for i in range(len(texts))]
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Remembers new words; of one in Latin letters a last point or comma is taken off."""
+        ends = {}
+        for word in words:
+            if word[-1:] in self.signs:
+                stem = word[:-1]
+                if stem.isalpha() and (stem.isascii() or max(stem) <= "ÿ"):
+                    ends[word] = stem
+        new = list(words.difference(ends).union(ends.values()).difference(self.known))
+        self.known.update(zip(new, self._whole(new)))
+        self.known.update((word, self.known[stem] + self.signs[word[-1]]) for word, stem in ends.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [[t] if any(c in t for c in DOUBTFUL) else t.split() for t in texts]
+        words = [[t] if any(c in t for c in DOUBTFUL) else _lower(t).split() for t in texts]
         new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > WORDS:
             self.known.clear()
             new = set().union(*words)
-        new = list(new)
-        self.known.update(zip(new, self._whole(new)))
+        self._learn(new)
         return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
 

@@ -99,15 +99,18 @@ def repeats(spark, sf_dir):
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _count_of(kind: str):
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias("n_" + kind)
+
+
 def _joined_spans(column: str):
     return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
 def secret_spans(spark, sf_dir):
     found = secrets.scanned(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias("n_" + k) for k in secrets.KINDS]
     return found.select(
-        "doc_id", *counts, F.sha2(_joined_spans("base").cast("binary"), 256).alias("base_sha256"),
+        "doc_id", *map(_count_of, secrets.KINDS), F.sha2(_joined_spans("base").cast("binary"), 256).alias("base_sha256"),
         _joined_spans("spans").alias("spans"))
 
 
