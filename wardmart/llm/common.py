@@ -26,6 +26,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_REMEMBERED: dict = {}
+
+
+def remembered(key, make):
+    """What a worker keeps from task to task under ``key``; it keeps one such thing at a time."""
+    if key not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[key] = make()
+    return _REMEMBERED[key]
+
+
+def forget() -> None:
+    """Frees what an earlier operator's tasks kept in this worker."""
+    _REMEMBERED.clear()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

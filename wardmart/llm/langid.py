@@ -13,6 +13,7 @@ was labelled. A tie goes to the language that sorts first.
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.llm.common import Prefixes, slices, utf8, written
+from wardmart.llm.common import Prefixes, remembered, slices, utf8, written
 
 #: Most documents of one language that the model learns from.
 TRAIN_DOCS = 4000
@@ -32,7 +33,7 @@ WORD = 32
 #: Weight of all languages' common probabilities in each language's own, in pieces seen.
 SHARED_WEIGHT = 1000.0
 #: Words whose scores a worker remembers.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 600_000
 UNDETERMINED = "und"
 
 
@@ -164,26 +165,31 @@ def _lowered(texts: list) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     def __init__(self, path: str, languages: list[str], p: np.ndarray, prior: np.ndarray):
         self.path, self.languages, self.p, self.prior = path, languages, p, prior
-        self.hashes = np.empty(0, np.uint64)
-        self.logs = np.empty((0, len(languages)))
+        self.name = uuid.uuid4().hex
+
+    def _known(self) -> dict:
+        """Words scored before in this worker: sorted hashes, and their rows of logs."""
+        return remembered(("language", self.name), lambda: {
+            "hashes": np.empty(0, np.uint64), "logs": np.empty((0, len(self.languages)))})
 
     def _words(self, prefixes: Prefixes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Log probability of each word; those scored before are looked up by their hash."""
         hashes, one, which = np.unique(
             prefixes.spans(begin, end), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, hashes)
+        store = self._known()
+        at = np.searchsorted(store["hashes"], hashes)
         known = np.zeros(len(hashes), bool)
-        inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        inside = at < len(store["hashes"])
+        known[inside] = store["hashes"][at[inside]] == hashes[inside]
         logs = np.empty((len(hashes), len(self.languages)))
-        logs[known] = self.logs[at[known]]
+        logs[known] = store["logs"][at[known]]
         new = ~known
         if new.any():
             lat = lattice(prefixes, begin[one[new]], end[one[new]], vocabulary(self.path))
             logs[new] = np.log(forward(lat, self.p[lat.piece])[lat.last])
-            if len(self.hashes) < KNOWN_WORDS:
-                self.hashes = np.insert(self.hashes, at[new], hashes[new])
-                self.logs = np.insert(self.logs, at[new], logs[new], axis=0)
+            if len(store["hashes"]) < KNOWN_WORDS:
+                store["hashes"] = np.insert(store["hashes"], at[new], hashes[new])
+                store["logs"] = np.insert(store["logs"], at[new], logs[new], axis=0)
         return logs[which]
 
     def log_scores(self, texts: list) -> np.ndarray:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardmart.llm.common import (
-    Prefixes, among, mixed, partitions, slices, utf8, word_spans, written,
+    Prefixes, among, forget, mixed, partitions, slices, utf8, word_spans, written,
 )
 from wardmart.llm.components import components
 
@@ -93,6 +93,7 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _each(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a batch: first and last row, shingles, and their rows from the first on."""
+    forget()
     data, starts = utf8(column)
     for i, j in slices(starts):
         hashes, rows = shingle_sets(data[starts[i]:starts[j]], starts[i:j + 1] - starts[i])
@@ -292,6 +293,7 @@ def frequent_shingles(docs: DataFrame, n: int) -> np.ndarray:
 
 def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by signature and key: one row for each key of signatures with several keys."""
+    forget()
     names = ["signature", "key"]
     # The last row of the batch before, and whether it was already given out.
     held: tuple[int, int, bool] | None = None
@@ -433,6 +435,7 @@ def _closest(pairs: np.ndarray, component: np.ndarray, tried: int) -> np.ndarray
 
 def _tile_pairs(tried: int):
     def run(table: pa.Table) -> pa.Table:
+        forget()
         own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
         n = table.column("n").to_numpy()
         _, component = np.unique(table.column("component").to_numpy(), return_inverse=True)

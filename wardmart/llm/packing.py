@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.llm.common import written
+from wardmart.llm.common import remembered, written
 
 CAPACITY = 4096
 #: Pieces that one task packs together.
@@ -106,9 +106,8 @@ class WordIds:
         return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
 
-@cache
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return remembered(("word ids", path), lambda: WordIds(path))
 
 
 def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:

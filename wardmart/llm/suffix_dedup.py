@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardmart.llm.common import Prefixes, among, mixed, partitions, slices, utf8, written
+from wardmart.llm.common import Prefixes, among, forget, mixed, partitions, slices, utf8, written
 
 LENGTH = 100
 KEY = 24
@@ -120,6 +120,7 @@ def _composite(columns: list[np.ndarray]) -> np.ndarray:
 
 def _anchor_rows(splitters: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             docs = batch.column("doc_id").to_numpy().astype(np.int64)
             for w0, w1, w2, context, row, low, extent in anchors(*utf8(batch.column("text"))):
@@ -178,6 +179,7 @@ def _spans(kind, hashes, docs, low, high) -> pa.RecordBatch:
 
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bucket: bytes that are covered, and anchors to compare window by window."""
+    forget()
     parts = [[b.column(c).to_numpy() for c in _COLUMNS] for b in batches]
     if not parts:
         return
