@@ -17,6 +17,8 @@ from wardmart.llm.queries import packed, prepared, trained_language
 
 #: A document whose likeliest language is less probable than this is rejected.
 LANGUAGE_SCORE = 0.5
+#: Words that a worker remembers while it packs; few, as executors carry other stages' memory.
+PACK_WORDS = 300_000
 
 
 def _with_text(docs: DataFrame, like: DataFrame) -> DataFrame:
@@ -55,7 +57,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
     prepared(spark)
-    return packed(docs)
+    return packed(docs, PACK_WORDS)
 
 
 STAGES = [

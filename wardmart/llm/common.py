@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ from wardmart.sources.shared import shared_folder
 #: long map, about 30 MB). Larger tables are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that numpy looks at in one go.
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -40,6 +41,15 @@ def remembered(key, make):
 def forget() -> None:
     """Frees what an earlier operator's tasks kept in this worker."""
     _REMEMBERED.clear()
+    release()
+
+
+def release() -> None:
+    """Gives memory that is free in this worker back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def partitions(spark: SparkSession) -> int:

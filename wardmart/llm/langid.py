@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.llm.common import Prefixes, remembered, slices, utf8, written
+from wardmart.llm.common import Prefixes, release, remembered, slices, utf8, written
 
 #: Most documents of one language that the model learns from.
 TRAIN_DOCS = 4000
@@ -33,7 +33,7 @@ WORD = 32
 #: Weight of all languages' common probabilities in each language's own, in pieces seen.
 SHARED_WEIGHT = 1000.0
 #: Words whose scores a worker remembers.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 400_000
 UNDETERMINED = "und"
 
 
@@ -304,5 +304,6 @@ def predict(docs: DataFrame, model: Model, out: tuple[str, str] = ("lang_pred",
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in names] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=[*names, *out])
+        release()
 
     return docs.mapInArrow(run, f"{fields}, `{out[0]}` string, `{out[1]}` double")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.llm.common import remembered, written
+from wardmart.llm.common import release, remembered, written
 
 CAPACITY = 4096
 #: Pieces that one task packs together.
@@ -59,8 +59,8 @@ class WordIds:
     The vocabulary drops white space and no token spans it, so a text's ids are its words'.
     """
 
-    def __init__(self, path: str):
-        self.tokenizer = tokenizer(path)
+    def __init__(self, path: str, most: int = WORDS):
+        self.tokenizer, self.most = tokenizer(path), most
         self.known: dict[str, bytes] = {}
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.signs = dict(zip(".,", self._whole([".", ","])))
@@ -99,24 +99,27 @@ class WordIds:
         """Little-endian unsigned 32-bit ids of each text."""
         words = [[t] if any(c in t for c in DOUBTFUL) else _lower(t).split() for t in texts]
         new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > WORDS:
+        if len(self.known) + len(new) > self.most:
             self.known.clear()
             new = set().union(*words)
         self._learn(new)
         return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
 
-def word_ids(path: str) -> WordIds:
-    return remembered(("word ids", path), lambda: WordIds(path))
+def word_ids(path: str, most: int) -> WordIds:
+    return remembered(("word ids", path, most), lambda: WordIds(path, most))
 
 
-def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, start, length, doc_tokens and ids (binary) of every piece of every document."""
+def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY, words: int = WORDS) -> DataFrame:
+    """doc_id, start, length, doc_tokens and ids (binary) of every piece of every document.
+
+    ``words`` is how many words' ids a worker remembers; it trades memory for time only.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     ending = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_ids(path).encode
+        encode = word_ids(path, words).encode
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for at in range(0, len(texts), 200):
@@ -132,6 +135,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY
                     + [pa.array(x, pa.int64()) for x in (start, length, total)]
                     + [pa.array(ids, pa.binary())],
                     names=["doc_id", "start", "length", "doc_tokens", "ids"])
+        release()
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")

@@ -118,8 +118,8 @@ def embedding_copies(spark, sf_dir):
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    found = packing.pieces(docs, WORD_BPE)
+def packed(docs: DataFrame, words: int = packing.WORDS) -> DataFrame:
+    found = packing.pieces(docs, WORD_BPE, words=words)
     return packing.pack(found.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
