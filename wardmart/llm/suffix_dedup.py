@@ -35,7 +35,7 @@ KEY = 24
 #: Documents that the splitters are taken from, and anchors of these.
 SAMPLE_DOCS, SAMPLE_ANCHORS = 1000, 100_000
 #: Window starts that numpy looks at in one go.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Contexts with the same leading bytes that one task compares; more are dealt by window.
 TOGETHER = 200_000
 
