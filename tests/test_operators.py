@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wardmart.operators import impute, quality, upsert
-from wardmart.operators.joins import _token, hot_keys, left_join, measured_hot_keys
+from wardmart.operators.joins import hot_keys, left_join, measured_hot_keys
 from wardmart.operators.profile import Profile, column_profile, most_common, value_counts
 
 
@@ -148,18 +148,42 @@ def test_salted_composite_join_equals_plain_join(spark):
         left.join(right, ["x", "y"], "left"))
 
 
-@pytest.mark.parametrize("kind", ["int", "bigint", "string", "date"])
-def test_one_token_per_key(spark, kind):
-    """Different keys never share a token: a cold key must not be taken for a hot one."""
-    base = spark.range(40).select(F.explode(F.sequence(F.lit(0), F.lit(39))).alias("y"), "id")
-    number = {c: (F.col(c) - 20).cast("int") for c in ("id", "y")}
-    day = {c: F.date_add(F.lit("2024-01-01").cast("date"), n) for c, n in number.items()}
-    keys = base.select(*[(day if kind == "date" else number)[c].cast(kind).alias(n)
-                         for c, n in (("id", "a"), ("y", "b"))])
-    tokens = keys.select(_token(keys, ["a", "b"]).alias("t"))
-    assert tokens.distinct().count() == 1600
-    holed = keys.select(F.col("a"), F.lit(None).cast(kind).alias("b"))
-    assert holed.select(_token(holed, ["a", "b"]).alias("t")).filter("t is not null").count() == 0
+@pytest.mark.parametrize("left_kind, right_kind", [
+    ("int", "string"), ("double", "float"), ("bigint", "int"), ("string", "int"), ("date", "date")])
+def test_salted_join_of_unlike_key_types(spark, left_kind, right_kind):
+    def key(kind):
+        return F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")) if kind == "date" \
+            else F.col("id").cast(kind)
+    left = spark.range(6).select(key(left_kind).alias("k"), F.col("id").alias("p"))
+    right = spark.range(400).select(F.col("id"), (F.col("id") % 4).alias("m")).select(
+        F.col("id").alias("q"), F.col("m").alias("id")).select(key(right_kind).alias("k"), "q")
+    hot = measured_hot_keys(right, "k", min_rows=20, rows_per_salt=10)
+    assert hot.count() == 4
+    assert rows(left_join(left, right, "k", hot)) == rows(left.join(right, "k", "left"))
+
+
+def test_a_stale_hot_list_loses_no_row(spark):
+    left, right = _sides(spark)
+    hot = measured_hot_keys(right, "k", min_rows=20, rows_per_salt=10)
+    now = right.filter("k <> 7")
+    assert rows(left_join(left, now, "k", hot)) == rows(left.join(now, "k", "left"))
+
+
+def test_equal_right_rows_are_spread(spark):
+    left = spark.createDataFrame([(7, "x")], "k int, p string")
+    right = spark.range(50000).select(F.lit(7).alias("k"), F.lit(5.0).alias("amount"), F.col("id").alias("bill"))
+    hot = measured_hot_keys(right, "k", min_rows=1000, rows_per_salt=1000)
+    names = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(names[0], False)
+    spark.conf.set(names[1], -1)
+    try:
+        joined = left_join(left, right, "k", hot, spread_by=["bill"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert joined.columns == ["k", "p", "amount"]
+    assert sum(sizes) == 50000 and len(sizes) > 4 and max(sizes) < 25000
 
 
 def test_salted_text_keys(spark):

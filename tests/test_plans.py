@@ -116,7 +116,7 @@ def test_not_null_filter_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(c_mktsegment)]" in text
 
 
-def test_only_the_hot_keys_are_broadcast(spark):
+def test_nothing_is_broadcast_by_hint(spark):
     events = spark.read.parquet(f"{SF}/events.parquet").select("event_type", "event_id")
     hot = measured_hot_keys(events, "event_type", min_rows=10, rows_per_salt=10)
     left = events.groupBy("event_type").count()
@@ -125,6 +125,5 @@ def test_only_the_hot_keys_are_broadcast(spark):
         text = plan(left_join(left, events, "event_type", hot))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("BroadcastHashJoin") == 2
+    assert "Broadcast" not in text
     assert "SortMergeJoin" in text and "__salt" in text
-    assert "LocalTableScan" in text

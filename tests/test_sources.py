@@ -133,3 +133,13 @@ def test_password_is_not_shown():
 
 def test_shared_folder_is_the_named_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_rows_without_a_key_are_refused(spark, tmp_path):
+    from wardmart.operators.quality import IntegrityError
+
+    target = ParquetTarget(str(tmp_path))
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    with pytest.raises(IntegrityError, match="without a key"):
+        load(df, target, "t", "k")
+    assert target.read(spark, "t") is None

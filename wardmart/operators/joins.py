@@ -2,133 +2,106 @@
 
 Adaptive execution can split the left (preserved) side of a skewed left join but
 never the right one, so one key with a third of all right rows would end up in one
-task. ``hot_keys`` finds such keys with a bounded heavy-hitter sketch and
-``left_join`` spreads them over salts. Salting only changes where a pair of rows
-meets; the joined rows are the same for any set of hot keys that occur on the right.
+task. ``hot_keys`` counts the right side's keys and ``left_join`` spreads those above a
+row count over salts. Salting only changes where a pair of rows meets; the joined rows
+are those of the plain join, for any list of hot keys.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Size bound of the hot-key table, which is broadcast.
-MAX_HOT_KEYS = 4096
-# Items tracked per sketch: keys above about 0.01 % of the rows are found.
-SKETCH_ITEMS = 16384
-# First-level merge width, so that no single task receives every partition's sketch.
-SKETCH_MERGERS = 512
+
+from wardmart.sources.shared import shared_folder
+
 # Right rows of one hot key that go to one salt.
 ROWS_PER_SALT = 1_000_000
-# Most salts of one key; beyond it each salt holds more rows, none is left out.
-MAX_SALTS = 100_000
 # Spread of left rows whose key is null; they match nothing wherever they go.
 NULL_SALTS = 1 << 16
 
-_TOKEN, _SALT, _SALTS, _HIT = "__key_token", "__salt", "__salts", "__hit"
-
-
-def _token(df: DataFrame, on: Sequence[str]) -> Column:
-    """One value per distinct key; null as soon as a part of the key is null."""
-    kinds = [df.schema[c].dataType for c in on]
-    if len(on) == 1:
-        return F.col(on[0])
-    if len(on) == 2 and all(isinstance(k, T.IntegerType) for k in kinds):
-        # Both numbers side by side. The sketch hashes a long by mixing its halves, so the
-        # upper one is scrambled by the lower one: still one value per pair, but without
-        # the collisions that related keys would cause.
-        high = F.shiftleft(F.col(on[0]).bitwiseXOR(F.hash(on[1])).cast("bigint"), 32)
-        return high.bitwiseOR(F.col(on[1]).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
-    whole = F.lit(True)
-    for c in on:
-        whole = whole & F.col(c).isNotNull()
-    if all(isinstance(k, T.IntegralType) for k in kinds):
-        return F.when(whole, F.concat_ws(",", *on))
-    return F.when(whole, F.to_json(F.struct(*on)))
+_SALT, _SALTS, _HIT = "__salt", "__salts", "__hit"
 
 
 def hot_keys(right: DataFrame, on: Sequence[str], min_rows: int = ROWS_PER_SALT,
              rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """At most ``MAX_HOT_KEYS`` keys of ``right`` with ``min_rows`` rows or more.
+    """Every key of ``right`` with ``min_rows`` rows or more, and its number of salts.
 
-    Reads the key columns only and shuffles sketches, not keys. A key that the
-    sketch misses is still joined correctly, just not spread.
+    Keys are counted before their shuffle, so a frequent one is one row for each task. There
+    are at most as many hot keys as ``right`` has rows divided by ``min_rows``.
     """
-    merger = F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("merger")
-    sketches = (
-        right.select(_token(right, on).alias(_TOKEN))
-        .filter(F.col(_TOKEN).isNotNull())
-        .groupBy(merger)
-        .agg(F.expr(f"approx_top_k_accumulate({_TOKEN}, {SKETCH_ITEMS})").alias("state"))
-        # A constant group, because a global combine fails on a table without keys.
-        .groupBy(F.lit(0).alias("all"))
-        .agg(F.expr(f"approx_top_k_combine(state, {SKETCH_ITEMS})").alias("state"))
-    )
-    top = sketches.select(
-        F.explode(F.expr(f"approx_top_k_estimate(state, {MAX_HOT_KEYS})")).alias("top"))
-    return top.filter(F.col("top.count") >= min_rows).select(
-        F.col("top.item").alias(_TOKEN),
-        F.least(F.ceil(F.col("top.count") / F.lit(rows_per_salt)), F.lit(MAX_SALTS))
-        .cast("int").alias(_SALTS),
-    )
+    counts = right.dropna(subset=list(on)).groupBy(*on).agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") >= min_rows).select(
+        *on, F.ceil(F.col("n") / rows_per_salt).cast("int").alias(_SALTS))
 
 
 def measured_hot_keys(right: DataFrame, on: Sequence[str] | str,
                       min_rows: int = ROWS_PER_SALT,
                       rows_per_salt: int = ROWS_PER_SALT) -> DataFrame | None:
-    """The hot keys, measured once and fixed, or ``None`` when there are none.
+    """The hot keys, counted once and stored in the shared folder, or ``None`` without any.
 
-    Both sides of a salted join must see the same salt counts, so the list (at most
-    ``MAX_HOT_KEYS`` rows) is fixed here rather than computed again on each side. A table
-    of fewer than ``min_rows`` rows has none, which its row count tells without a scan.
+    Both sides of a salted join must see the same salt counts, so the list is stored here
+    rather than computed again on each side.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if right.count() < min_rows:
-        return None
+    path = f"{shared_folder(right.sparkSession)}/hot-{uuid.uuid4().hex}"
     hot = hot_keys(right, on, min_rows, rows_per_salt)
-    found = hot.toArrow()
-    return right.sparkSession.createDataFrame(found, hot.schema) if found.num_rows else None
+    hot.write.parquet(path)
+    stored = right.sparkSession.read.schema(hot.schema).parquet(path)
+    return None if stored.isEmpty() else stored
+
+
+def _renamed(df: DataFrame, on: Sequence[str], prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({c: prefix + c for c in on})
+
+
+def _equal(on: Sequence[str], left: str, right: str) -> Column:
+    """The keys compared as a plain join of both sides would."""
+    return reduce(Column.__and__, [F.col(left + c) == F.col(right + c) for c in on])
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str,
-              hot: DataFrame | None = None) -> DataFrame:
+              hot: DataFrame | None = None, spread_by: Sequence[str] = ()) -> DataFrame:
     """``left.join(right, on, "left")``; with ``hot``, those keys are spread over salts.
 
-    ``hot`` comes from ``measured_hot_keys(right, on)``. Each right row of a hot key goes to one
-    salt chosen by its content, so a retried task repeats the choice. Each left row of
-    that key is repeated once per salt; the copies that meet no right row are dropped,
-    which loses nothing since a hot key has at least one right row.
+    ``hot`` comes from ``measured_hot_keys``. Each right row of a hot key goes to one salt,
+    chosen by the content of the row, so that a retried task repeats the choice. Equal rows
+    choose alike: ``spread_by`` names columns of ``right`` that tell its rows apart and are
+    not returned. Each left row of a hot key is repeated once per salt and the copies that
+    meet no right row are dropped; a key that the right side does not hold is not hot,
+    whatever the list says, so that no left row is lost.
     """
     on = [on] if isinstance(on, str) else list(on)
     if hot is None:
-        return left.join(right, on, "left")
+        return left.join(right.drop(*spread_by), on, "left")
 
     left_cols = left.columns
-    right_cols = [c for c in right.columns if c not in on]
-    hot = F.broadcast(hot)
+    right_cols = [c for c in right.columns if c not in on and c not in spread_by]
+    # Spark broadcasts the list if it is small and else shuffles; no hint is given.
+    listed = _renamed(hot, on, "__h_")
+    held = _renamed(right.select(*on), on, "__r_")
+    live = held.join(listed, _equal(on, "__r_", "__h_")).select(*listed.columns).distinct()
 
+    of_right = _renamed(right, on, "__r_")
     spread_right = (
-        right.withColumn(_TOKEN, _token(right, on))
-        .join(hot, _TOKEN, "left")
+        of_right.join(live, _equal(on, "__r_", "__h_"), "left")
         .withColumn(_SALT, F.when(
             F.col(_SALTS).isNotNull(),
-            F.pmod(F.xxhash64(*right.columns), F.col(_SALTS)).cast("int")).otherwise(0))
-        .select(*on, _SALT, *right_cols, F.lit(True).alias(_HIT))
-    )
+            F.pmod(F.xxhash64(*of_right.columns), F.col(_SALTS)).cast("int")).otherwise(0))
+        .select(*["__r_" + c for c in on], F.col(_SALT).alias("__r_salt"), *right_cols,
+                F.lit(True).alias(_HIT)))
+    missing = reduce(Column.__or__, [F.col(c).isNull() for c in on])
     salts = (
         F.when(F.col(_SALTS).isNotNull(), F.sequence(F.lit(0), F.col(_SALTS) - 1))
-        .when(F.col(_TOKEN).isNull(),
-              F.array(F.pmod(F.xxhash64(*left_cols), F.lit(NULL_SALTS)).cast("int")))
-        .otherwise(F.array(F.lit(0)))
-    )
+        .when(missing, F.array(F.pmod(F.xxhash64(*left_cols), F.lit(NULL_SALTS)).cast("int")))
+        .otherwise(F.array(F.lit(0))))
     spread_left = (
-        left.withColumn(_TOKEN, _token(left, on))
-        .join(hot, _TOKEN, "left")
-        .select(*left_cols, _SALTS, F.explode(salts).alias(_SALT))
-    )
-    joined = spread_left.join(spread_right, [*on, _SALT], "left")
+        left.join(live, _equal(on, "", "__h_"), "left")
+        .select(*left_cols, _SALTS, F.explode(salts).alias(_SALT)))
+    joined = spread_left.join(
+        spread_right, _equal(on, "", "__r_") & (F.col(_SALT) == F.col("__r_salt")), "left")
     return joined.filter(F.col(_SALTS).isNull() | F.col(_HIT)).select(
         *on, *[c for c in left_cols if c not in on], *right_cols)

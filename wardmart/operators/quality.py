@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def pk_violations(df: DataFrame, *key: str) -> DataFrame:
@@ -30,15 +31,31 @@ def fk_orphans(fact: DataFrame,
     A null foreign key is allowed. All foreign keys are counted in one pass over the
     fact, and only distinct values of both sides take part in the anti join, so a value
     that fills a third of the fact is one row there. The join needs no further shuffle.
+    Keys must have the type of the dimension's, or both be whole numbers; ``key_value`` is
+    a bigint if all keys are whole numbers, else text.
     """
-    keys = fact.select(*[F.col(n).cast("bigint").alias(n) for n in references])
+    kinds = {}
+    for n, (dim, key) in references.items():
+        kinds[n], other = fact.schema[n].dataType, dim.schema[key].dataType
+        whole = isinstance(kinds[n], T.IntegralType) and isinstance(other, T.IntegralType)
+        if kinds[n] != other and not whole:
+            raise TypeError(f"{n} is {kinds[n].simpleString()}, {key} is {other.simpleString()}")
+    kind = "bigint" if all(isinstance(k, T.IntegralType) for k in kinds.values()) else "string"
+    counted = F.count("*").alias("n_rows")
+    if len(references) == 1:
+        # One key is compared by itself: a constant beside it would cost another shuffle.
+        (n, (dim, key)), = references.items()
+        used = fact.select(F.col(n).cast(kind).alias("key_value")).dropna().groupBy("key_value").agg(counted)
+        known = dim.select(F.col(key).cast(kind).alias("key_value")).distinct()
+        return used.join(known, "key_value", "left_anti").select(F.lit(n).alias("fk"), "key_value", "n_rows")
+    keys = fact.select(*[F.col(n).cast(kind).alias(n) for n in references])
     used = (
         keys.unpivot([], list(references), "fk", "key_value")
         .filter(F.col("key_value").isNotNull())
-        .groupBy("fk", "key_value").agg(F.count("*").alias("n_rows"))
+        .groupBy("fk", "key_value").agg(counted)
     )
     known = reduce(DataFrame.unionAll, [
-        dim.select(F.lit(n).alias("fk"), F.col(key).cast("bigint").alias("key_value"))
+        dim.select(F.lit(n).alias("fk"), F.col(key).cast(kind).alias("key_value"))
         for n, (dim, key) in references.items()]).distinct()
     return used.join(known, ["fk", "key_value"], "left_anti")
 

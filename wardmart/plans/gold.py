@@ -47,8 +47,8 @@ def fact_appointments(appointments: DataFrame, treatments: DataFrame, billing: D
         treatments.select("appointment_id", "treatment_id"),
         "appointment_id", hot_appointments)
     billed = left_join(
-        treated, billing.select("patient_id", "treatment_id", "amount"),
-        ["patient_id", "treatment_id"], hot_bills)
+        treated, billing.select("patient_id", "treatment_id", "amount", "bill_id"),
+        ["patient_id", "treatment_id"], hot_bills, spread_by=["bill_id"])
     return billed.select(
         "appointment_id", "patient_id", "doctor_id", "treatment_id", "date_id",
         "appointment_timestamp", "status", "amount", "reason_for_visit")

@@ -17,9 +17,10 @@ GRAINS = {
 
 
 def daily_activity(fact: DataFrame) -> DataFrame:
-    """Row count, billed rows and revenue per day; at most one row per calendar day.
+    """Row count, billed rows and revenue per day, and of rows without a day.
 
-    Money is summed as whole cents, so the total does not depend on the order of rows.
+    Money is summed as whole cents, so the total does not depend on the order of rows. The
+    stored amount has 32 bits: cents are exact below 131,072, larger ones are rounded there.
     """
     return fact.groupBy("date_id").agg(
         F.count("*").alias("n_appointments"),
@@ -31,13 +32,14 @@ def trend(fact: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
     """Activity per ``year``, ``month`` or ``week``.
 
     The fact is reduced to days before it meets the calendar, so the join is between two
-    tables of calendar size whatever the size of the fact.
+    tables of calendar size whatever the size of the fact. Rows without a date, or with one
+    outside the calendar, count in a bucket of their own, whose keys are null.
     """
     keys = GRAINS[grain]
     days = daily_activity(fact).join(
         calendar.select("date_id", "year", "month_number",
                         F.date_trunc("week", "full_date").cast("date").alias("week_start")),
-        "date_id")
+        "date_id", "left")
     return days.groupBy(*keys).agg(
         F.sum("n_appointments").alias("n_appointments"),
         F.sum("n_billed").alias("n_billed"),

@@ -88,9 +88,18 @@ def gold_tables(id_type: str = "int") -> dict[str, GoldTable]:
     return {t.name: t for t in tables}
 
 
+def _exact(name: str, old: T.DataType, new: T.DataType):
+    """The column as ``new``; a value that does not fit is an error in either ANSI mode."""
+    if old == new:
+        return F.col(name)
+    cast = F.col(name).try_cast(new)
+    lost = F.concat(F.lit(f"{name} does not fit into {new.simpleString()}: "), F.col(name).cast("string"))
+    return F.when(F.col(name).isNotNull() & cast.isNull(), F.raise_error(lost)).otherwise(cast).alias(name)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of ``schema``, in its order and types; a missing one is an error."""
     missing = [c for c in schema.names if c not in df.columns]
     if missing:
         raise ValueError(f"columns missing from the result: {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.select(*[_exact(f.name, df.schema[f.name].dataType, f.dataType) for f in schema])

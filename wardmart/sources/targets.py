@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wardmart.operators.quality import require_none
 from wardmart.operators.upsert import absent_rows
 from wardmart.sources import files, jdbc
 
@@ -60,12 +62,17 @@ LOAD_MODES = ("append", "replace", "insert_if_absent")
 
 def load(df: DataFrame, target: Target, table: str, key: str,
          mode: str = "insert_if_absent", unique: bool = False) -> None:
-    """Load one table. ``insert_if_absent`` is safe to run again, after a failure too."""
+    """Load one table. ``insert_if_absent`` is safe to run again, after a failure too.
+
+    It refuses rows without a key, as the target's primary key would: they could not be
+    found again, so that each run would add them once more.
+    """
     if mode == "append":
         target.append(df, table)
     elif mode == "replace":
         target.replace(df, table)
     elif mode == "insert_if_absent":
+        require_none(df.filter(F.col(key).isNull()).select(key), f"rows of {table} without a key")
         held = target.read(df.sparkSession, table)
         target.append(absent_rows(df, held, key, unique), table)
     else:

@@ -364,7 +364,7 @@ ORACLES = {
                cast(date_id // 100 % 100 as int) as month_number,
                count(*) as n_appointments, count(amount) as n_billed,
                cast(sum(cast(amount as decimal(18,2))) as double) as revenue
-        from f where date_id is not null group by all""",
+        from f group by all""",
     "q_medallion_fact": f"with {_fact_tables(False)} {_FACT}",
     "q_medallion_doctors": f"{_doctors(False)} {_DIM_DOCTORS}",
     "q_medallion_patients": f"{_patients(False)} {_DIM_PATIENTS}",
