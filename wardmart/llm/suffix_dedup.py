@@ -34,6 +34,8 @@ LENGTH = 100
 KEY = 24
 #: Documents that the splitters are taken from, and anchors of these.
 SAMPLE_DOCS, SAMPLE_ANCHORS = 1000, 100_000
+#: Buckets for each shuffle partition of the session.
+BUCKETS = 3
 #: Window starts that numpy looks at in one go.
 BLOCK = 1 << 18
 #: Contexts with the same leading bytes that one task compares; more are dealt by window.
@@ -298,7 +300,7 @@ def covered_spans(docs: DataFrame) -> DataFrame:
     """doc, low, high: stretches of bytes that have an earlier copy; they may overlap."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    buckets = partitions(spark)
+    buckets = BUCKETS * partitions(spark)
     rows = docs.mapInArrow(_anchor_rows(splitters(docs, buckets)), _ROW)
     found = written(
         rows.repartitionById(buckets, "bucket").select(*_COLUMNS).mapInArrow(_bucket, _SPAN), "spans")
