@@ -212,6 +212,7 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each anchor's windows."""
+    forget()
     for batch in batches:
         for doc, text, probes in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "probes"))):
             data = (text or "").encode()
@@ -241,6 +242,7 @@ def _windows(batch: pa.RecordBatch | pa.Table):
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All windows of a task's contexts that start elsewhere before."""
+    forget()
     parts = [_windows(b) for b in batches if b.num_rows]
     if not parts:
         return
@@ -282,7 +284,7 @@ def covered_windows(contexts: DataFrame) -> DataFrame:
     frequent = contexts.groupBy("hash").count().where(F.col("count") > TOGETHER).select("hash")
     frequent = written(frequent, "frequent")
     few = among(contexts, frequent, "hash", keep=False)
-    out = few.repartition(partitions(spark), "hash").mapInArrow(_compared, _SPAN)
+    out = few.repartition(BUCKETS * partitions(spark), "hash").mapInArrow(_compared, _SPAN)
     if frequent.isEmpty():
         return out
     many = among(contexts, frequent, "hash").mapInArrow(
