@@ -43,8 +43,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without stretches that appeared before; a character cut in half goes whole."""
     prepared(spark)
-    found = suffix_dedup.deduplicated(docs, ("__kept", "__removed", "__spans"))
-    text = F.when(F.col("__removed") == 0, F.col("text")).otherwise(suffix_dedup.as_text("__kept"))
+    found = suffix_dedup.deduplicated(docs, ("__kept", "__removed", "__spans"), as_text=True)
+    text = F.when(F.col("__removed") == 0, F.col("text")).otherwise(F.col("__kept"))
     return _with_text(found.withColumn("text", text), docs)
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,19 @@ def release() -> None:
         trim(0)
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def freeing(task: Task) -> Task:
+    """``task`` as one that leaves nothing behind in its worker, which may wait long for the next."""
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        yield from task(batches)
+        release()
+    return run
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

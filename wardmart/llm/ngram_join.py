@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardmart.llm.common import (
-    Prefixes, among, forget, mixed, partitions, slices, utf8, word_spans, written,
+    Prefixes, among, forget, freeing, mixed, partitions, release, slices, utf8, word_spans,
+    written,
 )
 from wardmart.llm.components import components
 
@@ -93,7 +94,7 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _each(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a batch: first and last row, shingles, and their rows from the first on."""
-    forget()
+    release()
     data, starts = utf8(column)
     for i, j in slices(starts):
         hashes, rows = shingle_sets(data[starts[i]:starts[j]], starts[i:j + 1] - starts[i])
@@ -116,6 +117,7 @@ def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, and key and key2 of the set, which equal sets share."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, hashes, rows in _each(batch.column("text")):
@@ -133,6 +135,7 @@ def sets(docs: DataFrame) -> DataFrame:
     """doc_id and ``shingles``, the hashes of its set."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, hashes, rows in _each(batch.column("text")):
@@ -263,6 +266,7 @@ def signatures_of(hashes: np.ndarray, rows: np.ndarray, n: int, frequent: np.nda
 
 
 def _signer(frequent: np.ndarray):
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, hashes, rows in _each(batch.column("text")):
@@ -291,9 +295,9 @@ def frequent_shingles(docs: DataFrame, n: int) -> np.ndarray:
 
 # Groups of sets that share a signature
 
+@freeing
 def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by signature and key: one row for each key of signatures with several keys."""
-    forget()
     names = ["signature", "key"]
     # The last row of the batch before, and whether it was already given out.
     held: tuple[int, int, bool] | None = None
@@ -364,6 +368,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, n and ``sketch``: the parity of the number of shingles at each of its bits."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, hashes, rows in _each(batch.column("text")):
@@ -389,6 +394,7 @@ def _folded(sketch: bytes, size: int) -> bytes:
     return sketch
 
 
+@freeing
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches and sizes allow that they are alike."""
     for batch in batches:

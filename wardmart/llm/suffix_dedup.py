@@ -22,13 +22,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wardmart.llm.common import Prefixes, among, forget, mixed, partitions, slices, utf8, written
+from wardmart.llm.common import Prefixes, among, freeing, mixed, partitions, slices, utf8, written
 
 LENGTH = 100
 KEY = 24
@@ -121,8 +119,8 @@ def _composite(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def _anchor_rows(splitters: np.ndarray):
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget()
         for batch in batches:
             docs = batch.column("doc_id").to_numpy().astype(np.int64)
             for w0, w1, w2, context, row, low, extent in anchors(*utf8(batch.column("text"))):
@@ -179,9 +177,9 @@ def _spans(kind, hashes, docs, low, high) -> pa.RecordBatch:
          pa.array(low), pa.array(high)], names=["kind", "hash", "doc", "low", "high"])
 
 
+@freeing
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bucket: bytes that are covered, and anchors to compare window by window."""
-    forget()
     parts = [[b.column(c).to_numpy() for c in _COLUMNS] for b in batches]
     if not parts:
         return
@@ -210,9 +208,9 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # Windows
 
+@freeing
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each anchor's windows."""
-    forget()
     for batch in batches:
         for doc, text, probes in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "probes"))):
             data = (text or "").encode()
@@ -240,9 +238,9 @@ def _windows(batch: pa.RecordBatch | pa.Table):
     return Prefixes(data).spans(at, at + LENGTH), key[owner], doc[owner], low[owner] + step
 
 
+@freeing
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All windows of a task's contexts that start elsewhere before."""
-    forget()
     parts = [_windows(b) for b in batches if b.num_rows]
     if not parts:
         return
@@ -268,6 +266,7 @@ def _runs(doc: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
                  place[last] + LENGTH if len(first) else place[first])
 
 
+@freeing
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -315,7 +314,10 @@ def covered_spans(docs: DataFrame) -> DataFrame:
             .unionByName(covered_windows(contexts)).select("doc", "low", "high"))
 
 
-def _cutter(names: list[str], out: tuple[str, str, str]):
+def _cutter(names: list[str], out: tuple[str, str, str], as_text: bool):
+    kind = pa.string() if as_text else pa.binary()
+
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, removed, spans = [], [], []
@@ -325,19 +327,22 @@ def _cutter(names: list[str], out: tuple[str, str, str]):
                 np.add.at(depth, np.minimum(low, len(data)), 1)
                 np.add.at(depth, np.minimum(high, len(data)), -1)
                 gone = np.cumsum(depth[:-1]) > 0
-                kept.append(data[~gone].tobytes())
+                left = data[~gone].tobytes()
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 removed.append(int(gone.sum()))
                 spans.append(int((gone[1:] & ~gone[:-1]).sum()) + int(len(gone) > 0 and gone[0]))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(kept, pa.binary()), pa.array(removed, pa.int64()),
+                [*(batch.column(c) for c in names), pa.array(kept, kind), pa.array(removed, pa.int64()),
                  pa.array(spans, pa.int64())], names=[*names, *out])
     return run
 
 
-def deduplicated(docs: DataFrame, out: tuple[str, str, str] = ("kept", "n_removed", "n_spans")) -> DataFrame:
+def deduplicated(docs: DataFrame, out: tuple[str, str, str] = ("kept", "n_removed", "n_spans"),
+                 as_text: bool = False) -> DataFrame:
     """``docs`` with the bytes left of the text, how many were removed, and in how many runs.
 
-    ``out`` names these columns; columns of ``docs`` with such names are replaced.
+    ``out`` names these columns; columns of ``docs`` with such names are replaced. With
+    ``as_text`` the bytes left are text, and what a cut left of a character goes.
     """
     docs = docs.drop(*out)
     names = docs.columns
@@ -345,16 +350,10 @@ def deduplicated(docs: DataFrame, out: tuple[str, str, str] = ("kept", "n_remove
     spans = written(
         covered_spans(docs).groupBy(F.col("doc").alias("doc_id"))
         .agg(F.collect_list("low").alias("__low"), F.collect_list("high").alias("__high")), "cuts")
-    nothing = F.lit(0).cast("long")
+    nothing, kind = F.lit(0).cast("long"), "string" if as_text else "binary"
     whole = among(docs, spans, "doc_id", keep=False).select(
-        *names, F.coalesce("text", F.lit("")).cast("binary").alias(out[0]),
+        *names, F.coalesce("text", F.lit("")).cast(kind).alias(out[0]),
         nothing.alias(out[1]), nothing.alias(out[2]))
     cut = among(docs, spans, "doc_id").join(spans, "doc_id").select(*names, "__low", "__high").mapInArrow(
-        _cutter(names, out), f"{fields}, `{out[0]}` binary, `{out[1]}` long, `{out[2]}` long")
+        _cutter(names, out, as_text), f"{fields}, `{out[0]}` {kind}, `{out[1]}` long, `{out[2]}` long")
     return whole.unionByName(cut)
-
-
-@F.pandas_udf(T.StringType())
-def as_text(kept: pd.Series) -> pd.Series:
-    """Bytes as text; what a cut left of a character goes."""
-    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
