@@ -30,7 +30,7 @@ def test_standardize_id_leaves_numbers(spark):
 
 
 def test_wide_ids_need_the_wide_type(spark):
-    assert values(spark, X.standardize_id("v", "A"), ["A3000000000"]) == [None]
+    assert values(spark, X.standardize_id("v", "A", "int"), ["A3000000000"]) == [None]
     assert values(spark, X.standardize_id("v", "A", "bigint"), ["A3000000000"]) == [3000000000]
 
 
@@ -127,3 +127,8 @@ def test_compact_calendar(spark):
         (dt.date(2024, 2, 29), 2024, 2, 29, "Thursday", False),
         (dt.date(2024, 3, 1), 2024, 3, 1, "Friday", False),
         (dt.date(2024, 3, 2), 2024, 3, 2, "Saturday", True)]
+
+
+def test_large_ids_stay(spark):
+    row = spark.createDataFrame([("P3000000000",)], "c string").select(X.standardize_id("c", "P").alias("n"))
+    assert row.first().n == 3_000_000_000

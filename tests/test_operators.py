@@ -271,3 +271,16 @@ def test_absent_rows(spark):
 def test_one_per_key_of_a_key_only_table(spark):
     new = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert rows(upsert.one_per_key(new, "k")) == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("modes", [["k"], []])
+def test_mean_of_large_numbers_and_of_nan(spark, modes):
+    rows = spark.createDataFrame(
+        [("a", 9 * 10**18, 1.0), ("a", 9 * 10**18, float("nan")), ("b", None, 3.0)], "k string, n long, x double")
+    found = column_profile(rows, modes, ["n", "x"]).first()
+    assert (found.mean_n, found.mean_x) == (9e18, 2.0)
+
+
+def test_nan_is_no_mode(spark):
+    rows = spark.createDataFrame([(float("nan"),), (float("nan"),), (1.0,)], "x double")
+    assert column_profile(rows, ["x"]).first().mode_x == 1.0

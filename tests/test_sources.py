@@ -87,6 +87,10 @@ class Recorder:
         self.told["options"] = options
         return self
 
+    def repartition(self, n):
+        self.told["partitions"] = n
+        return self
+
     def mode(self, mode):
         self.told["mode"] = mode
         return self
@@ -108,6 +112,7 @@ def test_jdbc_append():
     assert r.told["options"] == {
         "url": "jdbc:x://h/db", "driver": "x.Driver", "dbtable": "t", "user": "u",
         "password": "secret", "batchsize": "500", "numPartitions": "4"}
+    assert r.told["partitions"] == 4  # else all work before the write runs in four tasks
 
 
 def test_jdbc_replace_keeps_the_table():
@@ -127,6 +132,17 @@ def test_jdbc_split_read():
     assert "partitionColumn" not in r.told["options"]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("more,n,id\nx,2.5,A1\ny,7,A2\n")
+    schema = spark.createDataFrame([], "id string, n int").schema
+    rows = files.read_csv(spark, str(tmp_path / "t.csv"), schema)
+    assert rows.columns == ["id", "n", "more"]
+    assert [r.more for r in rows.collect()] == ["x", "y"]
+    assert rows.where("id = 'A2'").first().n == 7
+    with pytest.raises(ValueError, match="absent"):
+        files.read_csv(spark, str(tmp_path / "t.csv"), schema.add("absent", "string"))
+
+
 def test_password_is_not_shown():
     assert "secret" not in repr(CONNECTION) + repr(JdbcTarget(CONNECTION))
 

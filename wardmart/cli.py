@@ -40,7 +40,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--as-of", help="date that counts as today, default the clock's")
     p.add_argument("--calendar-start", default=str(DEFAULT_START))
     p.add_argument("--calendar-end", default=str(DEFAULT_END))
-    p.add_argument("--id-type", choices=KEY_TYPES, default="int")
+    p.add_argument("--id-type", choices=KEY_TYPES, default="bigint")
     p.add_argument("--load-mode", choices=LOAD_MODES, default="insert_if_absent")
     p.add_argument("--extra-table", action="append", default=[],
                    help="another CSV table to ingest, its types inferred")

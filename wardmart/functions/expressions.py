@@ -31,12 +31,12 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def standardize_id(c: ColumnOrName, prefix: str, id_type: str = "int") -> Column:
+def standardize_id(c: ColumnOrName, prefix: str, id_type: str = "bigint") -> Column:
     """``D101`` -> ``101``; null when what is left after removing the letter is no number."""
     return F.replace(_col(c).cast("string"), F.lit(prefix), F.lit("")).try_cast(id_type)
 
 
-def standard_ids(*names: str, id_type: str = "int") -> dict[str, Column]:
+def standard_ids(*names: str, id_type: str = "bigint") -> dict[str, Column]:
     """``standardize_id`` for columns that carry one of the known business IDs."""
     return {n: standardize_id(n, ID_PREFIX[n], id_type) for n in names}
 

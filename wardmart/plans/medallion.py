@@ -40,8 +40,8 @@ class Settings:
     as_of: dt.date | str | None = None
     calendar_start: dt.date | str = DEFAULT_START
     calendar_end: dt.date | str = DEFAULT_END
-    # "bigint" once business numbers pass 2,147,483,647.
-    id_type: str = "int"
+    # "int" only where all business numbers are below 2,147,483,648: others become null.
+    id_type: str = "bigint"
     load_mode: str = "insert_if_absent"
     # Keys with this many rows on the right side of a fact join are spread.
     hot_key_rows: int = ROWS_PER_SALT
@@ -88,7 +88,7 @@ def ingest(spark: SparkSession, settings: Settings) -> None:
 def build_silver(spark: SparkSession, settings: Settings) -> None:
     """Clean every table from bronze and write it, replacing the last version."""
     for name, clean in CLEANERS.items():
-        raw = files.read_parquet(spark, _table(settings.bronze_root, name), RAW[name])
+        raw = files.read_parquet(spark, _table(settings.bronze_root, name))
         files.write_parquet(clean(raw, settings.as_of, settings.id_type),
                             _table(settings.silver_root, name))
         log.info("cleaned %s", name)

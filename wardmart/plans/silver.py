@@ -21,7 +21,7 @@ from wardmart.operators.profile import Profile
 AsOf = dt.date | str | None
 
 
-def clean_doctors(raw: DataFrame, as_of: AsOf = None, id_type: str = "int") -> DataFrame:
+def clean_doctors(raw: DataFrame, as_of: AsOf = None, id_type: str = "bigint") -> DataFrame:
     """Copies are judged on the raw text: ``Smith`` and ``smith `` stay two rows."""
     rows = drop_empty(deduplicate(raw), ["doctor_id", "first_name", "last_name"])
     rows = rows.withColumns({c: title_clean(c) for c in (
@@ -38,7 +38,7 @@ def clean_doctors(raw: DataFrame, as_of: AsOf = None, id_type: str = "int") -> D
         **standard_ids("doctor_id", id_type=id_type)})
 
 
-def clean_patients(raw: DataFrame, as_of: AsOf = None, id_type: str = "int") -> DataFrame:
+def clean_patients(raw: DataFrame, as_of: AsOf = None, id_type: str = "bigint") -> DataFrame:
     """The most common values are taken before copies are removed.
 
     Age follows the birth date as delivered, so a missing one leaves age null although
@@ -67,7 +67,7 @@ def clean_patients(raw: DataFrame, as_of: AsOf = None, id_type: str = "int") ->
         **standard_ids("patient_id", id_type=id_type)})
 
 
-def clean_appointments(raw: DataFrame, as_of: AsOf = None, id_type: str = "int") -> DataFrame:
+def clean_appointments(raw: DataFrame, as_of: AsOf = None, id_type: str = "bigint") -> DataFrame:
     """``date_id`` and the time stamp follow the date as delivered and stay null without
     one; only ``appointment_date`` itself is filled."""
     rows = drop_empty(deduplicate(raw), ["appointment_id", "patient_id", "doctor_id"])
@@ -83,7 +83,7 @@ def clean_appointments(raw: DataFrame, as_of: AsOf = None, id_type: str = "int")
         "status": profile.mode("status", UNKNOWN)})
 
 
-def clean_billing(raw: DataFrame, as_of: AsOf = None, id_type: str = "int") -> DataFrame:
+def clean_billing(raw: DataFrame, as_of: AsOf = None, id_type: str = "bigint") -> DataFrame:
     rows = drop_empty(deduplicate(raw), ["bill_id", "patient_id", "amount"])
     profile = Profile(rows, ["payment_method", "payment_status"])
     rows = rows.withColumns({
@@ -96,7 +96,7 @@ def clean_billing(raw: DataFrame, as_of: AsOf = None, id_type: str = "int") -> D
         "payment_status": profile.mode("payment_status", UNKNOWN)})
 
 
-def clean_treatments(raw: DataFrame, as_of: AsOf = None, id_type: str = "int") -> DataFrame:
+def clean_treatments(raw: DataFrame, as_of: AsOf = None, id_type: str = "bigint") -> DataFrame:
     """A missing cost becomes the most common cost; it stays null when there is none."""
     rows = drop_empty(deduplicate(raw), ["treatment_id", "treatment_type"])
     rows = rows.withColumns({

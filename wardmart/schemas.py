@@ -39,8 +39,8 @@ RAW: dict[str, T.StructType] = {
         ("amount", _D), ("payment_method", _S), ("payment_status", _S)),
 }
 
-# Key types: "int" as in the published warehouse schema, "bigint" for tables whose
-# numbers pass 2,147,483,647 (a cast to int would turn those keys into nulls).
+# Key types: "int" as in the published warehouse schema; "bigint", the default, also holds
+# numbers above 2,147,483,647 (a cast to int would turn those keys into nulls).
 KEY_TYPES: dict[str, T.DataType] = {"int": T.IntegerType(), "bigint": T.LongType()}
 
 
@@ -54,7 +54,7 @@ class GoldTable:
     not_null: tuple[str, ...] = ()
 
 
-def gold_tables(id_type: str = "int") -> dict[str, GoldTable]:
+def gold_tables(id_type: str = "bigint") -> dict[str, GoldTable]:
     """Gold tables in load order: dimensions first, the fact last."""
     key = KEY_TYPES[id_type]
     text, date_parts = _S, _I

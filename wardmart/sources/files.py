@@ -4,15 +4,31 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header. With a schema there is one pass; without, types are inferred."""
+    """CSV with a header. Without a schema, types are inferred.
+
+    With one, its columns are found by name wherever they stand and cast in the same pass;
+    a field that is no value of its type becomes null. Other columns follow as text, and a
+    missing one is an error.
+    """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+    rows = reader.csv(path)
+    missing = [c for c in schema.names if c not in rows.columns]
+    if missing:
+        raise ValueError(f"the header of {path} lacks {missing}")
+    others = [_quoted(c) for c in rows.columns if c not in schema.names]
+    return rows.select(
+        *[F.col(_quoted(f.name)).try_cast(f.dataType).alias(f.name) for f in schema], *others)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def read_parquet(spark: SparkSession, path: str,

@@ -53,13 +53,20 @@ def read_table(spark: SparkSession, connection: JdbcConnection, table: str,
     return spark.read.format("jdbc").options(**options).load()
 
 
+def _dealt(df: DataFrame, connection: JdbcConnection) -> DataFrame:
+    """One partition for each connection. Left to the writer's own limit, all work before
+    the write would run in that few tasks."""
+    return df.repartition(connection.max_connections)
+
+
 def append_table(df: DataFrame, connection: JdbcConnection, table: str) -> None:
     """Insert all rows. Each partition is one transaction, so a failed load may leave
     some of them behind; load by absent keys to make a rerun complete it."""
-    df.write.format("jdbc").options(**connection.write_options(table)).mode("append").save()
+    _dealt(df, connection).write.format("jdbc").options(
+        **connection.write_options(table)).mode("append").save()
 
 
 def replace_table(df: DataFrame, connection: JdbcConnection, table: str) -> None:
     """Empty the table, then insert: its definition, keys included, stays."""
     options = connection.write_options(table) | {"truncate": "true"}
-    df.write.format("jdbc").options(**options).mode("overwrite").save()
+    _dealt(df, connection).write.format("jdbc").options(**options).mode("overwrite").save()

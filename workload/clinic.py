@@ -56,8 +56,9 @@ def patients(holes: bool = True) -> str:
            concat('INS', c_custkey) as insurance_number,
            concat(lower(c_name), '@mail.com') as email
     from {{customer}} left join (
-        select o_custkey, min(o_orderdate) as first_date, max(o_orderdate) as last_date
-        from {{orders}} where o_orderpriority = '1-URGENT' group by o_custkey) o
+        select o_custkey, min(urgent) as first_date, max(urgent) as last_date
+        from (select o_custkey, case when o_orderpriority = '1-URGENT' then o_orderdate end as urgent
+              from {{orders}}) u group by o_custkey) o
       on c_custkey = o_custkey"""
     return _copies(body, "gender = 'F'")
 
@@ -117,17 +118,17 @@ def treatment_lines() -> str:
 
 
 def billing() -> str:
-    """One bill per order that has line items with a return flag other than N."""
+    """One bill per order with line items; those with return flag N cost nothing."""
     body = """
     select concat('B', o_orderkey) as bill_id, concat('P', o_custkey) as patient_id,
            concat('T', o_orderkey) as treatment_id,
            case when o_orderstatus = 'O' then null
                 else cast(max(l_shipdate) as date) end as bill_date,
-           cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as amount,
+           cast(sum(case when l_returnflag <> 'N'
+                         then cast(l_extendedprice as decimal(18,2)) end) as double) as amount,
            nullif(o_orderpriority, '4-NOT SPECIFIED') as payment_method,
            nullif(o_orderstatus, 'P') as payment_status
     from {orders} join {lineitem} on o_orderkey = l_orderkey
-    where l_returnflag <> 'N'
     group by o_orderkey, o_custkey, o_orderstatus, o_orderpriority"""
     return _copies(body, "payment_status = 'F'")
 

@@ -186,9 +186,11 @@ _DIM_TREATMENTS = "select treatment_id, treatment_type, description, cost from t
 ORACLES = {
     "q_fact_star": """
         with t as (select distinct l_orderkey, l_partkey from lineitem),
-        b as (select o_custkey, l_partkey, sum(cast(l_extendedprice as decimal(18,2))) as amount
+        b as (select o_custkey, l_partkey,
+                     sum(case when l_returnflag <> 'N'
+                              then cast(l_extendedprice as decimal(18,2)) end) as amount
               from lineitem join orders on l_orderkey = o_orderkey
-              where l_returnflag <> 'N' group by o_custkey, l_partkey)
+              group by o_custkey, l_partkey)
         select o.o_orderkey as appointment_id, o.o_custkey as patient_id,
                t.l_partkey as treatment_id,
                cast(strftime(o.o_orderdate, '%Y%m%d') as int) as date_id,
@@ -242,14 +244,13 @@ ORACLES = {
         from events""",
     "q_left_join_single": """
         select c_custkey, c_mktsegment, o_orderkey, o_totalprice
-        from customer left join (select * from orders where o_orderpriority = '1-URGENT'
-                                 and o_orderstatus = 'F') o on c_custkey = o_custkey""",
+        from customer left join orders on c_custkey = o_custkey""",
     "q_left_join_composite": """
         select l.l_partkey, l.l_suppkey, l.l_orderkey, l.l_linenumber, l.l_returnflag,
                r.n_returned
         from lineitem l left join (
-            select l_partkey, l_suppkey, count(*) as n_returned from lineitem
-            where l_returnflag = 'R' group by l_partkey, l_suppkey) r
+            select l_partkey, l_suppkey, count(*) filter (l_returnflag = 'R') as n_returned
+            from lineitem group by l_partkey, l_suppkey) r
           on l.l_partkey = r.l_partkey and l.l_suppkey = r.l_suppkey""",
     "q_left_join_hot_keys": """
         select k.event_type, k.n_events, e.event_id, e.value
