@@ -85,8 +85,8 @@ def test_fact_reads_and_shuffles_only_what_it_returns(spark, tmp_path):
     a, t, b = (spark.read.parquet(str(tmp_path / n))
                for n in ("appointments", "treatments", "billing"))
     text = plan(gold.fact_appointments(a, t, b), "formatted")
-    assert "ReadSchema: struct<treatment_id:int,appointment_id:int>" in text
-    assert "ReadSchema: struct<patient_id:int,treatment_id:int,amount:float>" in text
+    assert "ReadSchema: struct<treatment_id:bigint,appointment_id:bigint>" in text
+    assert "ReadSchema: struct<patient_id:bigint,treatment_id:bigint,amount:float>" in text
     assert "appointment_time:" not in text
     assert "PushedFilters: [IsNotNull(appointment_id)]" in text
     assert "Window" not in text and "Sort " not in text.replace("SortMergeJoin", "")
