@@ -76,6 +76,53 @@ def test_near_vectors_table(spark):
     assert all(found[i][0] <= truth[i][0] for i in truth)
 
 
+def planted(n, group, seed=4, pairs=500, dim=64):
+    """``n`` random unit vectors, a third of them at about cosine ``group`` to each other (0: none),
+    and among that third pairs at 0.955."""
+    rng = np.random.default_rng(seed)
+
+    def units(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    out = units(rng.normal(size=(n, dim)))
+    third = n // 3
+    out[:third] = units(math.sqrt(group) * units(rng.normal(size=dim)) + math.sqrt(1 - group) * out[:third])
+    for i in range(0, 2 * pairs, 2):
+        away = rng.normal(size=dim)
+        away = units(away - (away @ out[i]) * out[i])
+        out[i + 1] = 0.955 * out[i] + math.sqrt(1 - 0.955 ** 2) * away
+    return out
+
+
+def linked_truth(units):
+    """All pairs at the threshold or above, by brute force."""
+    out = []
+    for at in range(0, len(units), 1000):
+        a, b = np.nonzero(units[at:at + 1000] @ units.T >= 0.95)
+        out += [(int(x) + at, int(y)) for x, y in zip(a, b) if x + at < y]
+    return out
+
+
+def recall(spark, units, **sizes):
+    """Share of the true pairs whose two sides are in one component of the links."""
+    rows = [(i, 64, [float(x) for x in v]) for i, v in enumerate(units)]
+    nodes = spark.createDataFrame(rows, "node long, dim int, embedding array<double>").repartition(8)
+    component = {r.node: r.component for r in components(near_vectors.window_links(nodes, len(rows))).collect()}
+    truth = linked_truth(units)
+    assert len(truth) >= 500
+    return sum(component.get(a, -1) == component.get(b, -2) for a, b in truth) / len(truth)
+
+
+def test_near_vectors_dense_group(spark):
+    assert recall(spark, planted(20_000, 0.9)) >= 0.998
+
+
+def test_near_vectors_dense_group_by_passes(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "WINDOW", 64)
+    monkeypatch.setattr(near_vectors, "all_links", lambda nodes, n: nodes.selectExpr("node a", "node b").where("false"))
+    assert recall(spark, planted(6_000, 0.8)) >= 0.98
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_vectors.near_duplicates(none).count() == 0

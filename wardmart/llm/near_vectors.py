@@ -2,12 +2,16 @@
 
 Equal vectors are one class. In each pass every class gets a code, the signs of its
 products with random directions, drawn anew for the pass; classes are ordered by their codes
-as text and each is compared with the next ``WINDOW``. Alike vectors share most signs, so
-that in some pass they lie close by; the number of passes follows from the number of classes
-and the share of pairs at the threshold that may be missed. Pairs that are alike are united
-over all passes into components. A window holds no more than a bounded part of a large
-component, so all classes of a component are then compared with one another, in tiles of
-bounded size that only count links.
+as text and each is compared with at least the next ``WINDOW``. Alike vectors share most
+signs, so that in some pass they lie close by. How likely a pass misses a pair is taken from
+the data: the first class beyond a class's window tells how many leading signs must agree for
+an alike one to lie inside it. A class takes part in passes until the product of these shares
+is at most ``MISSED``; in a dense group that takes far more passes than elsewhere. Once the
+passes have cost as much as comparing all classes that still take part with one another,
+just that is done, so no class is left with less. Pairs that are alike are united over all
+passes into components. A window holds no more than a bounded part of a large component, so
+all classes of a component are then compared with one another, in tiles of bounded size that
+only count links.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing
 and are their own component; so do rows without a vec_id. Vectors of unlike lengths do not
@@ -24,31 +28,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.llm.common import partitions, written
+from wardmart.llm.common import written
 from wardmart.llm.components import components
 from wardmart.llm.vectors import finite, matrix
 
 COSINE = 0.95
-WINDOW = 48
-#: Share of pairs at the threshold that all passes together may miss.
+WINDOW = 1024
+#: Share of pairs at the threshold that all passes of a class together may miss.
 MISSED = 0.001
+#: Passes of the first round; each later round doubles their number.
+PASSES = 8
 BITS = 60
-#: Classes of one side of a tile.
+#: Classes of one side of a tile that counts links, and of one that compares all that is left.
 TILE = 1024
-
-
-def passes_for(n: int) -> int:
-    """Passes that find a pair at the threshold among ``n`` vectors with ``1 - MISSED``."""
-    depth = max(0.0, math.log2(max(n, 1) / (2 * WINDOW)))
-    together = (1 - math.acos(COSINE) / math.pi) ** depth
-    return 1 if together >= 1 else max(4, math.ceil(math.log(MISSED) / math.log(1 - together)))
+SIDE = 4096
 
 
 def _directions(which: int, dim: int) -> np.ndarray:
     return np.random.default_rng([17, which, dim]).normal(size=(dim, BITS))
 
 
-def _coder(passes: int):
+def _coder(passes: range):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
@@ -57,7 +57,7 @@ def _coder(passes: int):
                 at = np.flatnonzero(dims == dim)
                 part = batch.take(pa.array(at))
                 values = matrix(part.column("embedding"))
-                for p in range(passes):
+                for p in passes:
                     code = ((values @ _directions(p, int(dim))) > 0) @ weights
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(at), p, np.int32)), part.column("dim"), pa.array(code),
@@ -70,57 +70,121 @@ def _units(values: np.ndarray) -> np.ndarray:
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[list[int], list[int]]:
-    """A few of the links that still connect the same rows."""
-    up = list(range(n))
-
-    def top(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    left, right = [], []
-    for x, y in zip(a.tolist(), b.tolist()):
-        i, j = top(x), top(y)
-        if i != j:
-            up[j] = i
-            left.append(x)
-            right.append(y)
-    return left, right
+def _joined(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer links that connect the same ones of ``n`` rows: each with the first of its component."""
+    first = np.arange(n)
+    while len(a):
+        low = np.minimum(first[a], first[b])
+        new = first.copy()
+        for side in (a, b):
+            np.minimum.at(new, first[side], low)
+            np.minimum.at(new, side, low)
+        new = new[new]
+        if np.array_equal(new, first):
+            break
+        first = new
+    rows = np.flatnonzero(first != np.arange(n))
+    return rows, first[rows]
+
+
+def _gains(turn: np.ndarray, dim: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Log of the share of pairs at the threshold that this pass may miss, for each sorted row.
+
+    A row that shares fewer leading signs with the first rows out of its window than with
+    another one has that one inside. What lies beyond the partition is unknown: no gain there.
+    """
+    depth = np.zeros(len(code), np.int64)
+    for side in (-WINDOW - 1, WINDOW + 1):
+        at = np.arange(len(code)) + side
+        known = (at >= 0) & (at < len(code))
+        at = np.where(known, at, 0)
+        differ = code ^ code[at]
+        high = differ >> 30
+        length = np.where(high > 0, 30 + np.frexp(high)[1], np.frexp(differ & ((1 << 30) - 1))[1])
+        same = (turn == turn[at]) & (dim == dim[at])
+        depth = np.maximum(depth, np.where(known, np.where(same, BITS - length + 1, 0), BITS + 1))
+    together = (1 - math.acos(COSINE) / math.pi) ** depth
+    return np.where(depth > BITS, 0.0, np.log(np.maximum(1 - together, 1e-300)))
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between rows, sorted by code, and the next ones in their window."""
+    """Links between rows, sorted by code, and the next ones in their window; gains of all rows."""
     held: pa.Table | None = None
+    orders = []
     for batch in batches:
+        orders.append([batch.column(c).to_numpy() for c in ("pass", "dim", "code", "node")])
         table = pa.Table.from_batches([batch])
         if held is not None:
             table = pa.concat_tables([held, table])
         held = table.slice(max(0, table.num_rows - WINDOW))
         turn, dim, node = (table.column(c).to_numpy() for c in ("pass", "dim", "node"))
-        left, right = [], []
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         cuts = np.flatnonzero((turn[1:] != turn[:-1]) | (dim[1:] != dim[:-1])) + 1
         for low, high in zip([0, *cuts], [*cuts, len(turn)]):
             unit = _units(matrix(table.column("embedding").slice(low, high - low)))
-            found = [np.empty((0, 2), np.int64)]
-            for step in range(1, min(WINDOW, high - low - 1) + 1):
-                near = np.flatnonzero(np.einsum("ij,ij->i", unit[:-step], unit[step:]) >= COSINE)
-                found.append(np.stack([near, near + step], axis=1))
-            pairs = np.concatenate(found)
-            a, b = _forest(pairs[:, 0], pairs[:, 1], high - low)
-            left += node[low:high][a].tolist()
-            right += node[low:high][b].tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+            for at in range(0, high - low, WINDOW):
+                block = unit[at:at + 2 * WINDOW]
+                a, b = np.nonzero(np.triu(block[:WINDOW] @ block.T >= COSINE, 1))
+                a, b = _joined(a, b, len(block))
+                left.append(node[low + at + a])
+                right.append(node[low + at + b])
+        a, b = np.concatenate(left), np.concatenate(right)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a), pa.array(b), pa.nulls(len(a), pa.float64())], names=["a", "b", "gain"])
+    if orders:
+        turn, dim, code, node = (np.concatenate(x) for x in zip(*orders))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node), pa.array(node), pa.array(_gains(turn, dim, code))], names=["a", "b", "gain"])
+
+
+def all_links(nodes: DataFrame, n: int) -> DataFrame:
+    """Links (a, b) that connect all alike ones of ``n`` nodes: every one is compared with every one."""
+    tiles = max(1, -(-n // SIDE))
+    dealt = (nodes.withColumn("own", F.pmod(F.xxhash64("node"), F.lit(tiles)))
+             .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long")))))
+    pair = (F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
+
+    def tile(table: pa.Table) -> pa.Table:
+        own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
+        node = table.column("node").to_numpy()
+        unit = _units(matrix(table.column("embedding")))
+        first = np.flatnonzero(own == i)
+        other = first if i[0] == j[0] else np.flatnonzero(own != i)
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        across = unit[other].T
+        for at in range(0, len(first), TILE):
+            a, b = np.nonzero(unit[first[at:at + TILE]] @ across >= COSINE)
+            a, b = _joined(first[at + a], other[b], len(node))
+            left.append(node[a])
+            right.append(node[b])
+        return pa.table({"a": pa.array(np.concatenate(left)), "b": pa.array(np.concatenate(right))})
+
+    return (dealt.select("dim", "node", "embedding", "own", *pair)
+            .groupBy("dim", "i", "j").applyInArrow(tile, "a long, b long"))
 
 
 def window_links(nodes: DataFrame, n: int) -> DataFrame:
     """Links (a, b) that connect all alike nodes found in the windows of all passes."""
-    coded = nodes.mapInArrow(
-        _coder(passes_for(n)), "pass int, dim int, code long, node long, embedding array<double>")
     keys = ("pass", "dim", "code", "node")
-    return (coded.repartitionByRange(partitions(nodes.sparkSession), *keys).sortWithinPartitions(*keys)
-            .mapInArrow(_neighbours, "a long, b long").distinct())
+    left = nodes.select("node", "dim", "embedding", F.lit(0.0).alias("missed"))
+    links, done, step = [], 0, PASSES
+    while (done + step) * 2 * WINDOW < n:
+        coded = left.mapInArrow(
+            _coder(range(done, done + step)), "pass int, dim int, code long, node long, embedding array<double>")
+        found = written(
+            coded.repartitionByRange(max(1, n * step // (32 * WINDOW)), *keys).sortWithinPartitions(*keys)
+            .mapInArrow(_neighbours, "a long, b long, gain double"), "pass")
+        links.append(found.where("gain is null").select("a", "b").distinct())
+        gains = found.where("gain is not null").groupBy(F.col("a").alias("node")).agg(F.sum("gain").alias("gain"))
+        left = written(
+            left.join(gains, "node").withColumn("missed", F.col("missed") + F.col("gain")).drop("gain")
+            .where(F.col("missed") > math.log(MISSED)), "left")
+        n = left.count()
+        done, step = done + step, done + step
+    out = all_links(left, n)
+    for some in links:
+        out = out.union(some)
+    return out.distinct()
 
 
 def counted_links(members: DataFrame) -> DataFrame:
