@@ -123,6 +123,23 @@ def test_near_vectors_dense_group_by_passes(spark, monkeypatch):
     assert recall(spark, planted(6_000, 0.8)) >= 0.98
 
 
+def test_near_vectors_evenly_spread(spark):
+    assert recall(spark, planted(20_000, 0.0)) >= 0.998
+
+
+def test_near_vectors_counts_of_planted_pairs(spark):
+    """The whole operator against brute force where there is something to find."""
+    units = planted(3_000, 0.8, pairs=100)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(units)]
+    links = np.zeros(len(units), np.int64)
+    truth = linked_truth(units)
+    assert len(truth) >= 100
+    for a, b in truth:
+        links[[a, b]] += 1
+    found = {r.vec_id: r.n_links for r in near_vectors.near_duplicates(vectors(spark, rows)).collect()}
+    assert [found[i] for i in range(len(units))] == links.tolist()
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_vectors.near_duplicates(none).count() == 0
