@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
 import itertools
+import lzma
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -245,6 +248,21 @@ def test_nested(text):
         assert all(len(before) <= s < e <= len(before) + len(text) for s, e, _ in inside)
 
 
+PLAIN = b"password=hunter2hunter2"
+
+
+@pytest.mark.parametrize("before", ["key-", "secret_", "blob-", "/api/v1/", "a/b-c_d/", "x" * 41 + "/"])
+@pytest.mark.parametrize("after", ["", "/next", "-x/y_z"])
+@pytest.mark.parametrize("body", [PLAIN, gzip.compress(PLAIN, mtime=0), zlib.compress(PLAIN), bz2.compress(PLAIN),
+                                  lzma.compress(PLAIN), base64.b64encode(PLAIN)])
+def test_secret_between_other_base64_characters(before, after, body):
+    inside = base64.urlsafe_b64encode(body).decode().rstrip("=")
+    base, spans = secrets.spans(f"see {before}{inside}{after} there")
+    found = [(s, e) for s, e, k in spans if k == "assign"]
+    low = 4 + len(before)
+    assert any(low <= s < low + len(inside) <= e + 2 for s, e in found)
+
+
 def test_exact_places_inside():
     text = "é a%20to%6ben%3dabcdefgh z"
     assert (4, 24, "assign") in [(s, e, k) for s, e, k in secrets.spans(text)[1]] or \
