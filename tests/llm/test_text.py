@@ -263,6 +263,39 @@ def test_secret_between_other_base64_characters(before, after, body):
     assert any(low <= s < low + len(inside) <= e + 2 for s, e in found)
 
 
+@pytest.mark.parametrize("odd", ["\ufeff{}", "a\u00a0b {}", "soft\u00adly {}", "{} \u200b", "\x00{}", "\x1b[1m{}\x1b[0m"])
+@pytest.mark.parametrize("layers", [1, 2])
+def test_secret_beside_odd_characters(odd, layers):
+    body = odd.format(SECRET).encode()
+    for broken in (body, body + b" \xff", b"\xfe\x80 " + body):
+        for _ in range(layers):
+            broken = base64.b64encode(broken) + (b" " if layers == 2 else b"")
+        base, spans = secrets.spans(f"see {broken.decode()} there")
+        assert [k for s, e, k in spans if (s, e, k) not in base] == ["assign"]
+
+
+def _lines(body, width, end):
+    flat = base64.b64encode(body).decode()
+    return end.join(flat[i:i + width] for i in range(0, len(flat), width))
+
+
+@pytest.mark.parametrize("width, end", [(76, "\n"), (64, "\r\n"), (61, "\n  "), (20, "\n")])
+@pytest.mark.parametrize("before", ["", "data: ", "key: x-"])
+def test_secret_in_wrapped_base64(width, end, before):
+    rng = random.Random(5)
+    noise = rng.randbytes(2000).hex(" ") + " "
+    for at in range(60, 80):  # at every place against the line's end
+        plain = ("." * at + " " + SECRET + " ." * 40).encode()
+        text = f"see {before}{_lines(plain, width, end)}\nthere"
+        spans = secrets.spans(text)[1]
+        low, high = (at + 1) * 8 // 6, ((at + len(SECRET)) * 8 - 1) // 6  # its first and last character
+        low, high = (4 + len(before) + x + x // width * len(end) for x in (low, high))
+        assert (low, high + 1, "assign") in spans
+    packed = gzip.compress((noise + SECRET).encode(), mtime=0)
+    text = f"see {before}{_lines(packed, width, end)}\nthere"
+    assert [k for *_, k in secrets.spans(text)[1]] == ["assign"]
+
+
 def test_exact_places_inside():
     text = "é a%20to%6ben%3dabcdefgh z"
     assert (4, 24, "assign") in [(s, e, k) for s, e, k in secrets.spans(text)[1]] or \
