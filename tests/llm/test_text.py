@@ -332,6 +332,47 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(found[w], total)
 
 
+def test_long_words_in_logs():
+    vocab = langid.vocabulary(queries.LANGUAGE_PIECES)
+    words = [b"ha" * 3000, "\u1780\u1781".encode() * 2000, b"thing"]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    prefixes = langid.Prefixes(data)
+    lat = langid.lattice(prefixes, ends - [len(w) for w in words], ends, vocab)
+    p = np.random.default_rng(0).random(len(vocab)) * 1e-12
+    logs = langid.log_forward(lat, np.log(p[lat.piece])[:, None])[lat.last, 0]
+    for w, word in enumerate(words):  # one state after the other, scaled by what came before
+        low = ends[w] - len(word)
+        sums = [0.0]
+        for end in range(1, len(word) + 1):
+            begin = np.arange(max(0, end - vocab.longest), end)
+            ids = vocab.find(prefixes.spans(low + begin, np.full(len(begin), low + end)))
+            terms = np.array([sums[x] for x in begin[ids >= 0]]) + np.log(p[ids[ids >= 0]])
+            sums.append(np.logaddexp.reduce(terms))
+        assert np.isclose(logs[w], sums[-1])
+    used = langid.expected(lat, p[lat.piece], np.array([1.0, 2.0, 3.0]))
+    size = lat.end - lat.start
+    covered = np.bincount(lat.word, used * size, len(words))
+    assert np.allclose(covered, [len(w) * n for w, n in zip(words, (1, 2, 3))])
+
+
+def test_word_is_not_cut():
+    data = np.frombuffer("\u4e2d\u6587".encode() * 50 + b" a1" + b"b" * 70, np.uint8)
+    begin, end, _ = langid.letter_runs(data, np.array([0, len(data)]))
+    assert list(zip(begin, end)) == [(0, 300), (301, 302), (303, 373)]
+
+
+def test_long_foreign_run_keeps_language(spark):
+    run = "".join(chr(0x1780 + i % 30) for i in range(40))
+    en, fr = "the and of thing ", "été même où garçon "
+    df = spark.createDataFrame([(1, en * 250_000, "en"), (2, fr * 250_000, "fr"), (3, en * 100 + run, None),
+                                (4, fr * 100 + run, None), (5, run, None)], "doc_id long, text string, lang string")
+    model = langid.fit(df, queries.LANGUAGE_PIECES)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, model).collect()}
+    assert found[3][0] == "en" and found[4][0] == "fr"
+    assert all(0 < score <= 1 for _, score in found.values())
+
+
 def test_languages(spark, documents):
     rows = queries.QUERIES["op4_language"](spark, "/root/testdata/sf0.01").collect()
     truth = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}

@@ -2,8 +2,8 @@
 
 Every language has a probability for each piece of a fixed public vocabulary. A word's
 probability under a language is the sum over all ways to write it as a row of pieces, by the
-forward algorithm; a text's is the product over its words (runs of letters, lower case, cut
-after ``WORD`` bytes). Probabilities are fitted by expectation maximisation on at most
+forward algorithm; a text's is the product over its words (runs of letters, lower case, of any
+length). Sums are kept as logs, as a long run has far less than the least double. Probabilities are fitted by expectation maximisation on at most
 ``TRAIN_DOCS`` labelled documents a language, then every text is scored whole.
 
 Texts that are null or hold no letter are ``und`` with score 0; so is everything if nothing
@@ -28,8 +28,6 @@ from wardmart.llm.common import Prefixes, release, remembered, slices, utf8, wri
 #: Most documents of one language that the model learns from.
 TRAIN_DOCS = 4000
 ROUNDS = 3
-#: Longest word in bytes; a longer one is cut.
-WORD = 32
 #: Weight of all languages' common probabilities in each language's own, in pieces seen.
 SHARED_WEIGHT = 1000.0
 #: Words whose scores a worker remembers.
@@ -45,7 +43,7 @@ class Vocabulary:
         with open(path, "rb") as lines:
             for line in lines:
                 token = base64.b64decode(line.split()[0]).removeprefix(b" ")
-                if 1 < len(token) <= WORD and all(97 <= b < 123 or b >= 128 for b in token):
+                if len(token) > 1 and all(97 <= b < 123 or b >= 128 for b in token):
                     pieces.add(token)
         pieces = sorted(pieces)
         self.longest = max(map(len, pieces))
@@ -85,7 +83,7 @@ class Lattice:
     words: int
     first: np.ndarray  # state before each word's first byte
     last: np.ndarray  # state after its last
-    start: np.ndarray  # state before each found piece; sorted by the offset of its end
+    start: np.ndarray  # state before each found piece; sorted by the offset of its end, then by word
     end: np.ndarray
     piece: np.ndarray
     word: np.ndarray
@@ -111,7 +109,7 @@ def lattice(prefixes: Prefixes, begin: np.ndarray, end: np.ndarray, vocab: Vocab
         empty = np.empty(0, np.int64)
         return Lattice(0, empty, empty, empty, empty, empty, empty, [])
     word, offset, size, piece = (np.concatenate(x) for x in zip(*kept))
-    order = np.argsort(offset + size, kind="stable")
+    order = np.lexsort((word, offset + size))
     word, offset, size, piece = word[order], offset[order], size[order], piece[order]
     ends = offset + size
     cuts = np.searchsorted(ends, np.arange(1, int(n.max()) + 2))
@@ -119,30 +117,48 @@ def lattice(prefixes: Prefixes, begin: np.ndarray, end: np.ndarray, vocab: Vocab
                    list(zip(cuts[:-1].tolist(), cuts[1:].tolist())))
 
 
-def forward(lat: Lattice, p: np.ndarray) -> np.ndarray:
-    """Probability of reaching each state, for every column of the pieces' probabilities ``p``."""
-    states = int(lat.last[-1]) + 1
-    out = np.zeros((states, p.shape[1]))
-    out[lat.first] = 1.0
+def _summed(logs: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each state of a sorted row of states, and the log of the sum of what belongs to it."""
+    at = np.flatnonzero(np.diff(states, prepend=-1))
+    top = np.maximum.reduceat(logs, at)
+    n = np.diff(np.append(at, len(states)))
+    return states[at], top + np.log(np.add.reduceat(np.exp(logs - np.repeat(top, n, axis=0)), at))
+
+
+def log_forward(lat: Lattice, logs: np.ndarray) -> np.ndarray:
+    """Log probability of reaching each state, for every column of the found pieces' ``logs``."""
+    out = np.full((int(lat.last[-1]) + 1, logs.shape[1]), -np.inf)
+    out[lat.first] = 0.0
     for a, b in lat.steps:
-        terms = out[lat.start[a:b]] * p[a:b]
-        np.add.at(out, lat.end[a:b], terms)
+        states, sums = _summed(out[lat.start[a:b]] + logs[a:b], lat.end[a:b])
+        out[states] = sums
     return out
 
 
+def forward(lat: Lattice, p: np.ndarray) -> np.ndarray:
+    """Probability of reaching each state, for every column of the pieces' probabilities ``p``."""
+    return np.exp(log_forward(lat, np.log(p)))
+
+
 def expected(lat: Lattice, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """How often each found piece is used, with ``weight`` copies of each word; p: one column."""
-    before = forward(lat, p[:, None])[:, 0]
-    after = np.zeros_like(before)
-    after[lat.last] = 1.0
-    for a, b in reversed(lat.steps):
-        np.add.at(after, lat.start[a:b], after[lat.end[a:b]] * p[a:b])
+    logs = np.log(p)
+    before = log_forward(lat, logs[:, None])[:, 0]
+    after = np.full_like(before, -np.inf)
+    after[lat.last] = 0.0
+    offset = lat.start - lat.first[lat.word]
+    order = np.lexsort((lat.word, offset))
+    cuts = np.searchsorted(offset[order], np.arange(int(offset.max()) + 2))
+    for a, b in zip(cuts[-2::-1].tolist(), cuts[:0:-1].tolist()):
+        at = order[a:b]
+        states, sums = _summed(logs[at] + after[lat.end[at]], lat.start[at])
+        after[states] = sums
     total = before[lat.last]
-    return before[lat.start] * p * after[lat.end] / total[lat.word] * weight[lat.word]
+    return np.exp(before[lat.start] + logs + after[lat.end] - total[lat.word]) * weight[lat.word]
 
 
 def letter_runs(data: np.ndarray, starts: np.ndarray):
-    """Begin, end and row of each run of a-z and bytes above 127, cut after ``WORD`` bytes."""
+    """Begin, end and row of each run of a-z and bytes above 127."""
     inside = ((data >= 97) & (data < 123)) | (data >= 128)
     edge = np.ones(len(data) + 1, bool)
     edge[1:-1] = inside[1:] != inside[:-1]
@@ -151,10 +167,6 @@ def letter_runs(data: np.ndarray, starts: np.ndarray):
     begin, end = cuts[:-1], cuts[1:]
     word = inside[begin] if len(data) else np.zeros(0, bool)
     begin, end = begin[word], end[word]
-    parts = -(-(end - begin) // WORD)
-    nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-    begin, end = np.repeat(begin, parts) + nth * WORD, np.repeat(end, parts)
-    end = np.minimum(end, begin + WORD)
     return begin, end, np.searchsorted(starts, begin, "right") - 1
 
 
@@ -165,6 +177,7 @@ def _lowered(texts: list) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     def __init__(self, path: str, languages: list[str], p: np.ndarray, prior: np.ndarray):
         self.path, self.languages, self.p, self.prior = path, languages, p, prior
+        self.logs = np.log(p)
         self.name = uuid.uuid4().hex
 
     def _known(self) -> dict:
@@ -186,7 +199,7 @@ class Model:
         new = ~known
         if new.any():
             lat = lattice(prefixes, begin[one[new]], end[one[new]], vocabulary(self.path))
-            logs[new] = np.log(forward(lat, self.p[lat.piece])[lat.last])
+            logs[new] = log_forward(lat, self.logs[lat.piece])[lat.last]
             if len(store["hashes"]) < KNOWN_WORDS:
                 store["hashes"] = np.insert(store["hashes"], at[new], hashes[new])
                 store["logs"] = np.insert(store["logs"], at[new], logs[new], axis=0)
@@ -237,11 +250,15 @@ def _use_counter(path: str, languages: list[str], p: np.ndarray):
             lengths = np.array([len(w) for w in words], np.int64)
             if not len(words):
                 continue
-            ends = np.cumsum(lengths)
-            lat = lattice(Prefixes(np.frombuffer(b"".join(words), np.uint8)), ends - lengths, ends, vocab)
-            lang = np.array([index[x] for x in batch.column("lang").to_pylist()])[lat.word]
-            used = expected(lat, p[lat.piece, lang], batch.column("n").to_numpy().astype(float))
-            np.add.at(total, (lat.piece, lang), used)
+            starts = np.concatenate([[0], np.cumsum(lengths)])
+            data = np.frombuffer(b"".join(words), np.uint8)
+            langs = np.array([index[x] for x in batch.column("lang").to_pylist()])
+            n = batch.column("n").to_numpy().astype(float)
+            for i, j in slices(starts):
+                at = starts[i:j + 1] - starts[i]
+                lat = lattice(Prefixes(data[starts[i]:starts[j]]), at[:-1], at[1:], vocab)
+                lang = langs[i:j][lat.word]
+                np.add.at(total, (lat.piece, lang), expected(lat, p[lat.piece, lang], n[i:j]))
         piece, lang = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(piece), pa.array(lang), pa.array(total[piece, lang])], names=["piece", "lang", "used"])
