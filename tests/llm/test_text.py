@@ -14,6 +14,7 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 import corpus_pipeline
 from wardmart.llm import langid, ngram_join, quality, queries, secrets, suffix_dedup
@@ -296,6 +297,21 @@ def test_secret_in_wrapped_base64(width, end, before):
     assert [k for *_, k in secrets.spans(text)[1]] == ["assign"]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress,
+                                  lambda x: zstandard.ZstdCompressor().compress(x)])
+def test_secret_deep_in_large_body(monkeypatch, pack):
+    monkeypatch.setattr(secrets, "INFLATED", 1 << 20)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 10)
+    blocks = []
+    scan = secrets.scan
+    monkeypatch.setattr(secrets, "scan", lambda data: blocks.append(len(data)) or scan(data))
+    for at in (1 << 19, (1 << 20) - 12, (1 << 20) + 5, 5 << 20):
+        body = b"." * at + b" " + PLAIN + b" " + b"." * (1 << 20)
+        inside = base64.b64encode(pack(body)).decode()
+        assert (4, 4 + len(inside.rstrip("=")), "assign") in secrets.spans(f"see {inside} there")[1]
+    assert max(blocks) <= 1 << 25
+
+
 def test_exact_places_inside():
     text = "é a%20to%6ben%3dabcdefgh z"
     assert (4, 24, "assign") in [(s, e, k) for s, e, k in secrets.spans(text)[1]] or \
