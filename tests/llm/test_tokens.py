@@ -66,6 +66,19 @@ def test_word_ids_are_the_library_s():
     assert packing.WordIds(WORD_BPE).encode(texts) == expected
 
 
+def test_added_tokens_as_the_library_has_them():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(WORD_BPE)
+    marker = "<|endoftext|>"
+    texts = [f"end {marker} start", marker, f"a{marker}b, c.", f"日 {marker}", marker.upper(), f"End {marker.upper()} {marker}.",
+             "<|startoftext|>x", f"x\x01{marker}", "<|end of|> text", f"É{marker.title()} ."]
+    expected = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert len(expected[0]) == 3 * 4
+    assert packing.WordIds(WORD_BPE).encode(texts) == expected
+    assert packing.WordIds(WORD_BPE).encode(texts[::-1]) == expected[::-1]
+
+
 def test_best_fit_against_search():
     rng = random.Random(1)
     for capacity in (1, 7, 64, 100):

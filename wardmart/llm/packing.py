@@ -39,9 +39,7 @@ def tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
 
 
 def _lower(text: str) -> str:
@@ -56,12 +54,14 @@ def _lower(text: str) -> str:
 class WordIds:
     """Ids of texts, by words between white space that were encoded before.
 
-    The vocabulary drops white space and no token spans it, so a text's ids are its words'.
+    The vocabulary drops white space and no token spans it, so a text's ids are its words'. Texts
+    that hold an added token as it is written, in any case, go whole: it is matched before the rest.
     """
 
     def __init__(self, path: str, most: int = WORDS):
         self.tokenizer, self.most = tokenizer(path), most
         self.known: dict[str, bytes] = {}
+        self.added = [_lower(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.signs = dict(zip(".,", self._whole([".", ","])))
 
@@ -95,9 +95,15 @@ class WordIds:
         self.known.update(zip(new, self._whole(new)))
         self.known.update((word, self.known[stem] + self.signs[word[-1]]) for word, stem in ends.items())
 
+    def _split(self, text: str) -> list[str]:
+        if any(c in text for c in DOUBTFUL):
+            return [text]
+        lower = _lower(text)
+        return [text] if any(a in lower or a in text for a in self.added) else lower.split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [[t] if any(c in t for c in DOUBTFUL) else _lower(t).split() for t in texts]
+        words = [self._split(t) for t in texts]
         new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > self.most:
             self.known.clear()
