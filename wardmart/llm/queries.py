@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardmart.llm import (
-    bpe, chat, langid, near_vectors, ngram_join, packing, quality, secrets, suffix_dedup, topk,
+    audits_sql, bpe, chat, divergence, drift_clusters, langid, multi_index, near_vectors, ngram_join, packing,
+    quality, secrets, suffix_dedup, topk,
 )
 from wardmart.llm.common import written
 
@@ -132,6 +133,19 @@ def top_five(spark, sf_dir):
     return topk.top(vectors, F.pmod("vec_id", F.lit(50)) == 0, 5)
 
 
+def source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, most=10)
+
+
+def centroid_clusters(spark, sf_dir):
+    return drift_clusters.clusters(
+        table(spark, sf_dir, "embeddings"), k=audits_sql.CLUSTERS, rounds=audits_sql.ROUNDS, scale=64, dim=64)
+
+
+def nearest_ten(spark, sf_dir):
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, 10)
+
+
 QUERIES = {
     "op1_ngram_join": similar,
     "op2_quality": quality_scores,
@@ -143,6 +157,9 @@ QUERIES = {
     "op8_near_vectors": embedding_copies,
     "op9_packing": pack,
     "op10_top_k": top_five,
+    "op11_divergence": source_divergence,
+    "op12_clusters": centroid_clusters,
+    "op13_nearest": nearest_ten,
 }
 
 # Conversations as lists of turns; one that starts another, longer list, or equals one of a
@@ -181,4 +198,6 @@ r as (
 select query_id, rank::integer as rank, vec_id, score from r where rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op5_chat_format": _CHAT, "op10_top_k": _TOP}
+ORACLES: dict[str, str] = {
+    "op5_chat_format": _CHAT, "op10_top_k": _TOP, "op11_divergence": audits_sql.DIVERGENCE,
+    "op12_clusters": audits_sql.CENTROIDS}
