@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from dataclasses import replace
 
 import pytest
 
 from wardmart.operators.quality import IntegrityError
 from wardmart.plans.medallion import (
-    IngestError, Settings, _staging, build_gold, build_silver, ingest, read_gold, run_medallion,
+    IngestError, Settings, _side_by_side, _staging, build_gold, build_silver, ingest, read_gold,
+    read_rejects, run_medallion,
 )
-from wardmart.sources import files
+from wardmart.plans.silver import CLEANERS
+from wardmart.sources import files, published
 from wardmart.sources.targets import ParquetTarget
 
 CSV = {
@@ -160,3 +163,100 @@ def test_broken_rules_stop_the_load(spark, settings, name, old, new, message):
         build_gold(spark, settings)
     with pytest.raises(ValueError, match="not been loaded"):
         read_gold(spark, settings, "dim_patients")
+
+
+def test_rejected_values_are_kept(spark, settings):
+    change(settings, "appointments", "2023-05-17,7:45:00", "17.05.2023,7:45:00")
+    change(settings, "appointments", "13:05:00", "noon")
+    change(settings, "billing", "120.25", "12o.25")
+    run_medallion(spark, settings)
+    bronze = [tuple(r) for r in read_rejects(spark, settings, "bronze", "appointments").collect()]
+    assert bronze == [("A002", "appointment_date", "17.05.2023")]
+    assert [tuple(r) for r in read_rejects(spark, settings, "bronze", "billing").collect()] == [("B001", "amount", "12o.25")]
+    silver = [tuple(r) for r in read_rejects(spark, settings, "silver", "appointments").collect()]
+    assert silver == [(1, "appointment_timestamp", "noon")]
+    assert read_rejects(spark, settings, "silver", "doctors").count() == 0
+
+
+def test_too_many_rejected_values_keep_the_last_copy(spark, settings):
+    run_medallion(spark, replace(settings, max_rejected=0))
+    change(settings, "billing", "120.25", "12o.25")
+    change(settings, "treatments", "120.25", "130.25")
+    with pytest.raises(IngestError) as e:
+        ingest(spark, replace(settings, max_rejected=0))
+    assert set(e.value.failures) == {"billing"} and "1 rejected values, 0 allowed" in str(e.value)
+    held = files.read_parquet(spark, f"{settings.bronze_root}/billing").first()
+    assert held.amount == 120.25  # the last good copy
+    costs = {r.cost for r in files.read_parquet(spark, f"{settings.bronze_root}/treatments").collect()}
+    assert 130.25 in costs  # the others went on
+    ingest(spark, replace(settings, max_rejected=1))
+    assert files.read_parquet(spark, f"{settings.bronze_root}/billing").first().amount is None
+
+
+def copies(spark, root, names):
+    return {n: published.current(spark, f"{root}/{n}").number for n in names}
+
+
+def test_a_resumed_run_redoes_what_is_missing_or_changed(spark, settings, monkeypatch):
+    resumed = replace(settings, resume=True, at_a_time=1)
+    ingest(spark, resumed)
+    names = list(CLEANERS)
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        for name in names[3:]:
+            m.setitem(CLEANERS, name, stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            build_silver(spark, resumed)
+    assert [published.current(spark, f"{settings.silver_root}/{n}") is None for n in names] == [False] * 3 + [True] * 2
+    ingest(spark, resumed)
+    build_silver(spark, resumed)
+    assert set(copies(spark, settings.bronze_root, names).values()) == {1}
+    assert set(copies(spark, settings.silver_root, names).values()) == {1}
+    change(settings, "appointments", "Planned", "Done")
+    run_medallion(spark, resumed)
+    assert copies(spark, settings.silver_root, names) == {n: 2 if n == "appointments" else 1 for n in names}
+    assert fact(spark, settings)[0][6] == "Done"
+    build_silver(spark, replace(resumed, as_of="2025-01-01"))  # another date that counts as today
+    assert copies(spark, settings.silver_root, names) == {n: 3 if n == "appointments" else 2 for n in names}
+
+
+def test_buckets_change_nothing(spark, settings):
+    run_medallion(spark, replace(settings, buckets=4))
+    assert fact(spark, settings) == EXPECTED
+    assert published.current(spark, f"{settings.silver_root}/billing").buckets.columns == ("patient_id", "treatment_id")
+
+
+def test_tables_side_by_side_fail_in_order(spark, settings):
+    """The same errors, in the same order, however many tables are worked on at a time."""
+    broken = replace(settings, extra_tables=("absent", "missing"))
+    found = []
+    for at_a_time in (1, 4):
+        with pytest.raises(IngestError) as e:
+            ingest(spark, replace(broken, at_a_time=at_a_time))
+        found.append(list(e.value.failures))
+    assert found == [["absent", "missing"]] * 2
+
+
+def test_jobs_run_side_by_side(spark):
+    """Four jobs that each wait for the others can only end together."""
+    together, seen = threading.Barrier(4, timeout=60), []
+
+    def job():
+        together.wait()
+        assert spark.range(10).count() == 10
+        seen.append(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+
+    assert _side_by_side(spark, {f"t{i}": job for i in range(4)}, 4) == {}
+    assert sorted(seen) == ["t0", "t1", "t2", "t3"]
+
+
+def test_two_runs_read_their_own_facts(spark, settings, tmp_path):
+    """Runs that share the staging folder do not see each other's rows."""
+    run_medallion(spark, replace(settings, staging_root=str(tmp_path / "staging")))
+    first = published.current(spark, str(tmp_path / "staging/fact_appointments"))
+    run_medallion(spark, replace(settings, staging_root=str(tmp_path / "staging")))
+    second = published.current(spark, str(tmp_path / "staging/fact_appointments"))
+    assert first.path != second.path and published.opened(spark, first).count() == 3

@@ -10,12 +10,14 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from wardmart.operators import joins
 from wardmart.operators.joins import left_join, measured_hot_keys
-from wardmart.operators.profile import column_profile
+from wardmart.operators.profile import column_profile, pruned_counts, pruned_modes
 from wardmart.operators.quality import fk_orphans
 from wardmart.operators.upsert import absent_rows
 from wardmart.plans import gold, silver
 from wardmart.schemas import RAW
+from wardmart.sources import published
 from workload import clinic
 
 SF = str(TESTDATA / "sf0.001")
@@ -24,7 +26,8 @@ pytestmark = pytest.mark.skipif(not TESTDATA.exists(), reason="no test tables he
 # These write tables when they are called; their result is a plain scan.
 WRITERS = {"q_csv_parquet_roundtrip", "q_csv_infer_schema", "q_write_ignore",
            "q_write_replace", "q_insert_if_absent", "q_medallion_fact", "q_medallion_doctors",
-           "q_medallion_patients", "q_medallion_treatments"}
+           "q_medallion_patients", "q_medallion_treatments", "q_medallion_date",
+           "q_rejected_values", "q_rejected_counts", "q_infer_types", "q_insert_by_index"}
 
 
 def plan(df, mode=None):
@@ -127,3 +130,46 @@ def test_nothing_is_broadcast_by_hint(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Broadcast" not in text
     assert "SortMergeJoin" in text and "__salt" in text
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
+    """No Exchange below the fact's first join, and none of bills below the second."""
+    buckets = {"appointments": ("appointment_id",), "treatments": ("appointment_id",),
+               "billing": ("patient_id", "treatment_id")}
+    texts = {"appointments": clinic.appointments(), "treatments": clinic.treatments(), "billing": clinic.billing()}
+    opened = [
+        published.opened(spark, published.publish(
+            silver.CLEANERS[name](clinic.rows(spark, SF, texts[name], name), "2024-01-01"),
+            str(tmp_path / name), buckets=published.Buckets(columns, 8)))
+        for name, columns in buckets.items()]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        fact = gold.fact_appointments(*opened)
+        text = plan(fact)
+        assert text.count("SortMergeJoin") == 2
+        assert text.count("Exchange") == 1  # what the first join returns, for the second
+        first = text[text.rindex("SortMergeJoin"):]
+        assert first.count("Bucketed: true") >= 2 or first.count("SelectedBucketsCount: 8 out of 8") >= 2
+        assert "Exchange" not in first
+        counts = plan(opened[1].groupBy("appointment_id").count())
+        assert "Exchange" not in counts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keys_of_a_large_limit_shuffle_a_sample(spark):
+    """Without candidates no key is counted, and nothing is stored."""
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert measured_hot_keys(lines, "l_orderkey") is None
+    text = plan(joins._candidates(lines, ["l_orderkey"], 1_000_000))
+    assert "Sample 0.0, 6.4E-5" in text and text.index("Exchange") < text.index("Sample")
+    assert joins._candidates(lines, ["l_orderkey"], 100) is None
+
+
+def test_pruned_modes_shuffle_few_values(spark):
+    """With a value that stands out, the values of its bucket are all that is counted."""
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 4 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v"))
+    kept = pruned_counts(df, ["v"])
+    assert kept.where("v is not null").select("v").distinct().count() < 500
+    assert pruned_modes(df, ["v"]).first().mode_v == column_profile(df, ["v"]).first().mode_v == -1

@@ -44,6 +44,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--load-mode", choices=LOAD_MODES, default="insert_if_absent")
     p.add_argument("--extra-table", action="append", default=[],
                    help="another CSV table to ingest, its types inferred")
+    p.add_argument("--max-rejected", type=int, help="most values of a table that casts may lose")
+    p.add_argument("--buckets", type=int, help="files that silver's join tables are bucketed into")
+    p.add_argument("--resume", action="store_true",
+                   help="leave tables alone whose inputs have not changed")
     return p
 
 
@@ -59,7 +63,8 @@ def settings_from(args: argparse.Namespace, environ: Mapping[str, str]) -> Setti
         target=target, staging_root=args.staging, as_of=args.as_of,
         calendar_start=args.calendar_start, calendar_end=args.calendar_end,
         id_type=args.id_type, load_mode=args.load_mode,
-        extra_tables=tuple(args.extra_table))
+        extra_tables=tuple(args.extra_table), max_rejected=args.max_rejected,
+        buckets=args.buckets, resume=args.resume)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

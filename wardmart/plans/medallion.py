@@ -5,25 +5,40 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from wardmart.functions.calendar import DEFAULT_END, DEFAULT_START, calendar
 from wardmart.operators.joins import ROWS_PER_SALT, measured_hot_keys
 from wardmart.operators.quality import (
     fk_orphans, pk_violations, require_no_nulls, require_none,
 )
+from wardmart.operators.rejects import REJECTED, Account, rejects
 from wardmart.plans import gold
-from wardmart.plans.silver import CLEANERS
+from wardmart.plans.silver import CLEANERS, CONVERTED
 from wardmart.schemas import RAW, conform, gold_tables
-from wardmart.sources import files
+from wardmart.sources import files, published
+from wardmart.sources.infer import inferred_types, typed
+from wardmart.sources.published import Buckets
 from wardmart.sources.shared import shared_folder
 from wardmart.sources.targets import Target, load
 
 log = logging.getLogger(__name__)
 
+# Part of what a table is made from; to be raised when cleaners or schemas change.
+RECIPE = "1"
+# What the fact's joins meet on: silver tables are bucketed by these columns.
+JOINED_ON = {
+    "appointments": ("appointment_id",),
+    "treatments": ("appointment_id",),
+    "billing": ("patient_id", "treatment_id"),
+}
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -34,7 +49,7 @@ class Settings:
     silver_root: str
     target: Target
     # Where the fact is written before it is checked; None takes a folder below the one
-    # the cluster names in spark.checkpoint.dir. Each run replaces the copy of the last.
+    # the cluster names in spark.checkpoint.dir. Each run writes a copy of its own.
     staging_root: str | None = None
     # The date the run counts as today; None takes the clock's date.
     as_of: dt.date | str | None = None
@@ -47,6 +62,17 @@ class Settings:
     hot_key_rows: int = ROWS_PER_SALT
     # More tables to ingest besides the registered ones; their types are inferred.
     extra_tables: tuple[str, ...] = field(default=())
+    # Most values of one table that a layer's casts may lose; None allows any number. A table
+    # beyond it is not published, and its last copy stays.
+    max_rejected: int | None = None
+    # Files that silver's join tables are bucketed into; None writes them unbucketed. About
+    # a gigabyte a bucket serves large inputs.
+    buckets: int | None = None
+    # Leave tables alone whose inputs have not changed since they were published.
+    resume: bool = False
+    # Tables of a layer that are worked on at a time. Their jobs share the executors fairly
+    # if the session was started with spark.scheduler.mode=FAIR.
+    at_a_time: int = 4
 
 
 class IngestError(RuntimeError):
@@ -68,30 +94,109 @@ def _staging(spark: SparkSession, settings: Settings) -> str:
     return f"{shared_folder(spark)}/wardmart-staging-{mark}"
 
 
-def ingest(spark: SparkSession, settings: Settings) -> None:
-    """CSV to Parquet per table. One bad table does not stop the others, but the run
-    fails in the end, naming every table that failed."""
-    failures: dict[str, Exception] = {}
-    for name in [*RAW, *settings.extra_tables]:
+def _side_by_side(spark: SparkSession, jobs: Mapping[str, Callable[[], None]],
+                  at_a_time: int) -> dict[str, Exception]:
+    """Runs jobs from threads, each with its own scheduler pool and job tag. One that fails
+    does not stop the others; returns the failures in the order of ``jobs``."""
+    def run(name: str) -> Exception | None:
+        context = spark.sparkContext
+        context.setLocalProperty("spark.scheduler.pool", name)
+        context.addJobTag(f"wardmart-{name}")
         try:
-            rows = files.read_csv(
-                spark, _table(settings.input_root, f"{name}.csv"), RAW.get(name))
-            files.write_parquet(rows, _table(settings.bronze_root, name))
-            log.info("ingested %s", name)
+            jobs[name]()
         except Exception as e:
-            log.error("could not ingest %s: %s", name, e)
-            failures[name] = e
+            return e
+        finally:
+            context.removeJobTag(f"wardmart-{name}")
+            context.setLocalProperty("spark.scheduler.pool", None)
+        return None
+
+    with ThreadPoolExecutor(max(1, at_a_time)) as pool:
+        found = [(name, pool.submit(inheritable_thread_target(spark)(run), name)) for name in jobs]
+        return {name: f.result() for name, f in found if f.result() is not None}
+
+
+def _is_current(spark: SparkSession, settings: Settings, path: str, made_from: str) -> bool:
+    """Whether a resumed run may leave the table at ``path`` as it is."""
+    copy = published.current(spark, path) if settings.resume else None
+    return copy is not None and copy.made_from == made_from
+
+
+def _made_from(*parts: object) -> str:
+    return hashlib.sha256("|".join(map(str, (RECIPE, *parts))).encode()).hexdigest()
+
+
+def _ingest_table(spark: SparkSession, settings: Settings, name: str) -> None:
+    source, path = _table(settings.input_root, f"{name}.csv"), _table(settings.bronze_root, name)
+    schema = RAW.get(name)
+    made_from = _made_from(published.fingerprint(spark, [source]), schema and schema.simpleString())
+    if _is_current(spark, settings, path, made_from):
+        log.info("%s is current", name)
+        return
+    if schema is None:
+        # Parsed once, as text; the types come from what was stored.
+        text = published.opened(spark, published.publish(
+            spark.read.option("header", True).csv(source), f"{path}/_text", made_from))
+        types = inferred_types(text)
+        published.publish(typed(text, types), path, made_from)
+        log.info("ingested %s as %s", name, types)
+        return
+    account = Account(name, [f.name for f in schema if not isinstance(f.dataType, T.StringType)])
+    rows = account.watch(files.read_csv(spark, source, schema, REJECTED))
+    published.publish(rows, path, made_from,
+                      check=lambda: account.require_at_most(settings.max_rejected))
+    log.info("ingested %s: %d rows, rejected values %s", name, account.rows, account.rejected)
+
+
+def ingest(spark: SparkSession, settings: Settings) -> None:
+    """CSV to Parquet per table, some tables at a time. One bad table does not stop the
+    others and keeps its last copy, but the run fails in the end, naming every table that
+    failed. Fields that are no value of their column's type are counted and kept."""
+    jobs = {name: lambda n=name: _ingest_table(spark, settings, n)
+            for name in [*RAW, *settings.extra_tables]}
+    failures = _side_by_side(spark, jobs, settings.at_a_time)
+    for name, e in failures.items():
+        log.error("could not ingest %s: %s", name, e)
     if failures:
         raise IngestError(failures)
 
 
+def _clean_table(spark: SparkSession, settings: Settings, name: str) -> None:
+    source, path = _table(settings.bronze_root, name), _table(settings.silver_root, name)
+    raw = published.current(spark, source)
+    buckets = Buckets(JOINED_ON[name], settings.buckets) if settings.buckets and name in JOINED_ON else None
+    today = settings.as_of or dt.date.today()
+    made_from = _made_from(raw.path if raw else source, today, settings.id_type, buckets)
+    if _is_current(spark, settings, path, made_from):
+        log.info("%s is current", name)
+        return
+    account = Account(name, CONVERTED[name])
+    rows = CLEANERS[name](files.read_parquet(spark, source).drop(REJECTED), settings.as_of,
+                          settings.id_type, REJECTED)
+    published.publish(account.watch(rows), path, made_from, buckets,
+                      check=lambda: account.require_at_most(settings.max_rejected))
+    log.info("cleaned %s: %d rows, rejected values %s", name, account.rows, account.rejected)
+
+
 def build_silver(spark: SparkSession, settings: Settings) -> None:
-    """Clean every table from bronze and write it, replacing the last version."""
-    for name, clean in CLEANERS.items():
-        raw = files.read_parquet(spark, _table(settings.bronze_root, name))
-        files.write_parquet(clean(raw, settings.as_of, settings.id_type),
-                            _table(settings.silver_root, name))
-        log.info("cleaned %s", name)
+    """Clean every table from bronze and publish it as the next copy, some tables at a time.
+    All are tried; the first failure is raised in the end."""
+    jobs = {name: lambda n=name: _clean_table(spark, settings, n) for name in CLEANERS}
+    failures = _side_by_side(spark, jobs, settings.at_a_time)
+    for name, e in failures.items():
+        log.error("could not clean %s: %s", name, e)
+    for e in failures.values():
+        raise e
+
+
+def read_rejects(spark: SparkSession, settings: Settings, layer: str, table: str) -> DataFrame:
+    """The values of a bronze or silver table that casts lost: its row's key, the column, the raw text.
+
+    The key of a bronze row is its business ID as delivered, that of a silver row the number,
+    which is null where the ID itself was rejected.
+    """
+    root = {"bronze": settings.bronze_root, "silver": settings.silver_root}[layer]
+    return rejects(files.read_parquet(spark, _table(root, table)), [RAW[table].names[0]])
 
 
 def seed_calendar(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -103,23 +208,40 @@ def seed_calendar(spark: SparkSession, settings: Settings) -> DataFrame:
     return files.read_parquet(spark, path)
 
 
-def gold_frames(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
-    """The gold tables as plans over silver, in load order."""
-    silver = {n: files.read_parquet(spark, _table(settings.silver_root, n)) for n in CLEANERS}
-    least = settings.hot_key_rows
+def gold_dimensions(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
+    """The dimensions as plans over silver, in load order."""
+    silver = {n: files.read_parquet(spark, _table(settings.silver_root, n))
+              for n in ("doctors", "patients", "treatments")}
     return {
         "dim_doctors": gold.dim_doctors(silver["doctors"]),
         "dim_patients": gold.dim_patients(silver["patients"]),
         "dim_treatments": gold.dim_treatments(silver["treatments"]),
         "dim_date": calendar(spark, settings.calendar_start, settings.calendar_end),
-        "fact_appointments": gold.fact_appointments(
-            silver["appointments"], silver["treatments"], silver["billing"],
-            measured_hot_keys(silver["treatments"], "appointment_id", least, least),
-            measured_hot_keys(silver["billing"], ["patient_id", "treatment_id"],
-                              least, least)),
     }
 
 
+def gold_fact(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The fact as a plan over silver. Bucketed silver tables meet without a shuffle of
+    appointments, treatments or bills; only what the first join returns is shuffled."""
+    silver = {n: files.read_parquet(spark, _table(settings.silver_root, n)) for n in JOINED_ON}
+    least = settings.hot_key_rows
+    return gold.fact_appointments(
+        silver["appointments"], silver["treatments"], silver["billing"],
+        measured_hot_keys(silver["treatments"], "appointment_id", least, least),
+        measured_hot_keys(silver["billing"], ["patient_id", "treatment_id"], least, least))
+
+
+def _staged_fact(spark: SparkSession, settings: Settings, schema: T.StructType) -> DataFrame:
+    """The fact, written once; each run reads the copy it made itself."""
+    path = _table(_staging(spark, settings), "fact_appointments")
+    inputs = [published.current(spark, _table(settings.silver_root, n)) for n in JOINED_ON]
+    made_from = _made_from(*[c and c.path for c in inputs], schema.simpleString())
+    if _is_current(spark, settings, path, made_from):
+        return files.read_parquet(spark, path)
+    fact = conform(gold_fact(spark, settings), schema)
+    return published.opened(spark, published.publish(fact, path, made_from, keep=4))
+
+
 def build_gold(spark: SparkSession, settings: Settings) -> None:
     """Check every table, then load it: dimensions first, so the fact's keys resolve.
 
@@ -128,10 +250,8 @@ def build_gold(spark: SparkSession, settings: Settings) -> None:
     """
     tables = gold_tables(settings.id_type)
     frames = {name: conform(df, tables[name].schema)
-              for name, df in gold_frames(spark, settings).items()}
-    staged = _table(_staging(spark, settings), "fact_appointments")
-    files.write_parquet(frames["fact_appointments"], staged)
-    frames["fact_appointments"] = files.read_parquet(spark, staged)
+              for name, df in gold_dimensions(spark, settings).items()}
+    frames["fact_appointments"] = _staged_fact(spark, settings, tables["fact_appointments"].schema)
 
     for name, table in tables.items():
         require_none(pk_violations(frames[name], table.key), f"primary key of {name}")

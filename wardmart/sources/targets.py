@@ -9,9 +9,10 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardmart.operators.bitmaps import is_whole, key_bitmaps, merged, not_in
 from wardmart.operators.quality import require_none
-from wardmart.operators.upsert import absent_rows
-from wardmart.sources import files, jdbc
+from wardmart.operators.upsert import absent_rows, one_per_key
+from wardmart.sources import files, jdbc, published
 
 
 class Target(Protocol):
@@ -37,6 +38,47 @@ class ParquetTarget:
         files.write_parquet(df, self.path(table), "overwrite")
 
 
+@dataclass(frozen=True)
+class IndexedParquetTarget(ParquetTarget):
+    """Parquet tables with a stored index of their whole-number keys.
+
+    The index is a table of bitmaps beside the rows, published with a fingerprint of the files
+    it covers: their names, sizes and times. A load whose files still match reads the index
+    and no row of the target. After a load that stopped half way, or a change from outside,
+    they do not match, and the index is built anew from the key column.
+    """
+
+    def _index_path(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/_keys/{table}"
+
+    def _fingerprint(self, spark: SparkSession, table: str) -> str:
+        copy = published.current(spark, self.path(table))
+        path = copy.path if copy else self.path(table)
+        return f"{path}|{published.fingerprint(spark, [path])}"
+
+    def held_keys(self, spark: SparkSession, table: str, key: str) -> DataFrame | None:
+        """The index of ``table``, built anew if it does not cover its files; None without a table."""
+        rows = self.read(spark, table)
+        if rows is None:
+            return None
+        made_from = f"{key}|{self._fingerprint(spark, table)}"
+        copy = published.current(spark, self._index_path(table))
+        if copy is None or copy.made_from != made_from:
+            copy = published.publish(key_bitmaps(rows, key), self._index_path(table), made_from)
+        return published.opened(spark, copy)
+
+    def insert_absent(self, df: DataFrame, table: str, key: str, unique: bool) -> None:
+        """Append the rows whose key is not held, then publish the grown index."""
+        spark = df.sparkSession
+        held = self.held_keys(spark, table, key)
+        rows = df if unique else one_per_key(df, key)
+        # All keys of the load are held afterwards, whichever of its rows were added.
+        keys = key_bitmaps(df, key)
+        self.append(rows if held is None else not_in(rows, key, held), table)
+        made_from = f"{key}|{self._fingerprint(spark, table)}"
+        published.publish(keys if held is None else merged(held, keys), self._index_path(table), made_from)
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
     """Tables of a database; they exist there already, with their keys.
@@ -73,6 +115,9 @@ def load(df: DataFrame, target: Target, table: str, key: str,
         target.replace(df, table)
     elif mode == "insert_if_absent":
         require_none(df.filter(F.col(key).isNull()).select(key), f"rows of {table} without a key")
+        if isinstance(target, IndexedParquetTarget) and is_whole(df, key):
+            target.insert_absent(df, table, key, unique)
+            return
         held = target.read(df.sparkSession, table)
         target.append(absent_rows(df, held, key, unique), table)
     else:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from wardmart.functions.calendar import calendar
+from wardmart.operators.rejects import REJECTED, rejects
 from wardmart.plans import gold, silver
-from wardmart.plans.medallion import Settings, read_gold, run_medallion
+from wardmart.plans.medallion import JOINED_ON, Settings, read_gold, run_medallion
 from wardmart.plans.trends import trend
+from wardmart.sources import published
 from wardmart.sources.targets import ParquetTarget
 from workload import clinic
 from workload.operators import AS_OF
@@ -72,6 +74,25 @@ def fact_appointments(spark, sf_dir):
     return gold.ordered(_fact(spark, sf_dir), "fact_appointments")
 
 
+BUCKETS = 8
+
+
+def fact_bucketed(spark, sf_dir):
+    """The fact from silver tables that are bucketed on what its joins meet on."""
+    root = scratch_dir(spark)
+    copies = [
+        published.publish(_cleaned(spark, sf_dir, name), f"{root}/{name}",
+                          buckets=published.Buckets(JOINED_ON[name], BUCKETS))
+        for name in ("appointments", "treatments", "billing")]
+    return gold.fact_appointments(*[published.opened(spark, c) for c in copies])
+
+
+def rejected_casts(spark, sf_dir):
+    """What the cleaning of appointments loses in its casts."""
+    cleaned = silver.clean_appointments(_raw(spark, sf_dir, "appointments"), AS_OF, rejected=REJECTED)
+    return rejects(cleaned, ["appointment_id", "date_id"])
+
+
 def clinic_trend_month(spark, sf_dir):
     return trend(_fact(spark, sf_dir), calendar(spark, *CALENDAR), "month")
 
@@ -115,9 +136,12 @@ QUERIES = {
     "q_dim_patients": dim_patients,
     "q_dim_treatments": dim_treatments,
     "q_fact_appointments": fact_appointments,
+    "q_fact_bucketed": fact_bucketed,
+    "q_rejected_casts": rejected_casts,
     "q_clinic_trend_month": clinic_trend_month,
     "q_medallion_fact": _gold_table("fact_appointments"),
     "q_medallion_doctors": _gold_table("dim_doctors"),
     "q_medallion_patients": _gold_table("dim_patients"),
     "q_medallion_treatments": _gold_table("dim_treatments"),
+    "q_medallion_date": _gold_table("dim_date"),
 }

@@ -10,17 +10,23 @@ from wardmart.functions.expressions import (
     UNKNOWN, address_region, age_in_years, as_date, as_real, cents, date_key,
     event_timestamp, full_name, money, run_date, standardize_id, title_clean,
 )
+from wardmart.operators.bitmaps import pk_violations_by_bitmap
 from wardmart.operators.impute import (
     deduplicate, drop_empty, fill, fill_constants, not_null,
 )
 from wardmart.operators.joins import left_join, measured_hot_keys
-from wardmart.operators.profile import Profile, column_profile, most_common, value_counts
+from wardmart.operators.profile import (
+    Profile, column_profile, most_common, pruned_modes, value_counts,
+)
 from wardmart.operators.quality import fk_orphans, null_counts, pk_violations
+from wardmart.operators.rejects import REJECTED, Account, rejects
+from wardmart.operators.states import Deliveries, profile_of_states
 from wardmart.operators.upsert import absent_rows
 from wardmart.plans.trends import trend
 from wardmart.schemas import conform, gold_tables
-from wardmart.sources import files
-from wardmart.sources.targets import ParquetTarget, load
+from wardmart.sources import files, published
+from wardmart.sources.infer import type_report
+from wardmart.sources.targets import IndexedParquetTarget, ParquetTarget, load
 from workload.scratch import scratch_dir
 
 # The date these queries count as today.
@@ -28,7 +34,7 @@ AS_OF = "2024-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return files.read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _holed_customers(spark, sf_dir):
@@ -206,6 +212,28 @@ def profile_columns(spark, sf_dir):
     return column_profile(lines, ["flag", "status", "l_partkey", "price", "empty"], ["line"])
 
 
+def profile_pruned(spark, sf_dir):
+    """Modes of columns with many values, some tied; half of all prices are one value."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", as_real("l_extendedprice").alias("price"),
+        F.when(F.col("l_returnflag") == "N", F.lit(1.5)).otherwise(F.col("l_extendedprice")).alias("hot"),
+        F.col("l_orderkey").alias("tied"), F.lit(None).cast("string").alias("empty"))
+    return pruned_modes(lines, ["l_partkey", "price", "hot", "tied", "empty"])
+
+
+def profile_deliveries(spark, sf_dir):
+    """Line items in three deliveries, one of which arrives twice: profiled from stored states."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.nullif("l_returnflag", F.lit("R")).alias("flag"), "l_partkey",
+        as_real("l_extendedprice").alias("price"), "l_quantity", "l_linenumber")
+    columns = ["flag", "l_partkey", "price", "l_quantity"]
+    stored = Deliveries(f"{scratch_dir(spark)}/states")
+    for third in (0, 1, 0, 2):
+        stored.add(f"part {third}", lines.where(F.col("l_linenumber") % 3 == third), columns)
+    kinds = {c: lines.schema[c].dataType for c in columns}
+    return profile_of_states(stored.states(spark), kinds, columns[:3], ["l_quantity"])
+
+
 def sorted_treatments(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", "p_retailprice").orderBy(
         F.asc_nulls_first("p_retailprice"), "p_partkey")
@@ -277,6 +305,13 @@ def pk_check(spark, sf_dir):
     return pk_violations(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
 
 
+def pk_bitmap(spark, sf_dir):
+    """Order numbers of line items, some missing and some below zero."""
+    keys = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_returnflag") != "R", F.col("l_orderkey") - 2000).alias("k"))
+    return pk_violations_by_bitmap(keys, "k")
+
+
 def fk_check(spark, sf_dir):
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return fk_orphans(
@@ -318,6 +353,55 @@ def csv_inferred(spark, sf_dir):
                         "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
 
 
+def _orders_csv(spark, sf_dir):
+    """Orders as CSV, with fields that are no value of their type."""
+    path = f"{scratch_dir(spark)}/orders.csv"
+    table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("c"), "o_custkey"))
+        .otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        "o_orderstatus",
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a"))
+        .when(F.col("o_orderpriority") != "3-MEDIUM", F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.concat(F.col("o_orderdate").cast("date").cast("string"),
+                 F.when(F.col("o_orderpriority") == "1-URGENT", "?").otherwise("")).alias("o_orderdate"),
+    ).write.option("header", True).csv(path)
+    return path
+
+
+_ORDERS = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+           "o_orderdate date")
+
+
+def _ingested_orders(spark, sf_dir):
+    """The stored orders with their rejected values, and the account of the write."""
+    schema = spark.createDataFrame([], _ORDERS).schema
+    account = Account("orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    path = f"{scratch_dir(spark)}/orders"
+    rows = files.read_csv(spark, _orders_csv(spark, sf_dir), schema, REJECTED)
+    published.publish(account.watch(rows), path)
+    return files.read_parquet(spark, path), account
+
+
+def rejected_values(spark, sf_dir):
+    """Fields of a CSV that were no value of their type, from the table that was stored."""
+    return rejects(_ingested_orders(spark, sf_dir)[0], ["o_orderkey"])
+
+
+def rejected_counts(spark, sf_dir):
+    """Rows and rejected values by column, as counted by the write itself."""
+    account = _ingested_orders(spark, sf_dir)[1]
+    return spark.createDataFrame(
+        [(c, account.rows, n) for c, n in account.rejected.items()], "name string, n_rows long, n_rejected long")
+
+
+def infer_types(spark, sf_dir):
+    """Types of the orders' text columns, and the least value that rules each narrower one out."""
+    path = f"{scratch_dir(spark)}/text"
+    spark.read.option("header", True).csv(_orders_csv(spark, sf_dir)).write.parquet(path)
+    return type_report(spark.read.parquet(path))
+
+
 def write_ignore(spark, sf_dir):
     """Two write-if-absent calls on one path: the first one stays."""
     root, source = scratch_dir(spark), table(spark, sf_dir, "supplier")
@@ -345,6 +429,19 @@ def insert_if_absent(spark, sf_dir):
     return target.read(spark, "customer")
 
 
+def insert_by_index(spark, sf_dir):
+    """The same loads by a stored index of the keys; the last one follows rows from outside."""
+    root, source = scratch_dir(spark), table(spark, sf_dir, "customer")
+    target = IndexedParquetTarget(root)
+    load(source.filter(F.col("c_mktsegment") == "BUILDING"), target, "customer", "c_custkey")
+    later = source.withColumn("c_name", F.concat(F.lit("late "), "c_name"))
+    load(later.filter(F.col("c_mktsegment") == "MACHINERY"), target, "customer", "c_custkey")
+    target.append(later.filter(F.col("c_mktsegment") == "FURNITURE"), "customer")
+    for _ in range(2):
+        load(later, target, "customer", "c_custkey")
+    return target.read(spark, "customer")
+
+
 def absent_keys(spark, sf_dir):
     """Orders a load would add to those that had a line returned."""
     returned = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select(
@@ -394,4 +491,11 @@ QUERIES = {
     "q_write_replace": write_replace,
     "q_insert_if_absent": insert_if_absent,
     "q_absent_rows": absent_keys,
+    "q_profile_pruned": profile_pruned,
+    "q_profile_deliveries": profile_deliveries,
+    "q_pk_bitmap": pk_bitmap,
+    "q_rejected_values": rejected_values,
+    "q_rejected_counts": rejected_counts,
+    "q_infer_types": infer_types,
+    "q_insert_by_index": insert_by_index,
 }

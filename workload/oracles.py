@@ -183,6 +183,36 @@ select patient_id, full_name, gender, age, address_region, insurance_provider fr
 
 _DIM_TREATMENTS = "select treatment_id, treatment_type, description, cost from treatments"
 
+# Orders with fields that are no value of their type, as text.
+_ORDERS_TEXT = """(select o_orderkey, cast(o_orderkey as varchar) as k,
+    case when o_orderstatus = 'P' then concat('c', o_custkey) else cast(o_custkey as varchar) end as c,
+    case when o_orderpriority = '5-LOW' then 'n/a'
+         when o_orderpriority <> '3-MEDIUM' then cast(o_totalprice as varchar) end as p,
+    concat(strftime(o_orderdate, '%Y-%m-%d'), case when o_orderpriority = '1-URGENT' then '?' else '' end) as d,
+    o_orderstatus as s from orders)"""
+
+_TYPE_PATTERNS = {
+    "boolean": "(?i)true|false", "int": "[+-]?[0-9]+", "bigint": "[+-]?[0-9]+",
+    "double": "[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?",
+    "date": "[0-9]{4}-[0-9]{2}-[0-9]{2}",
+    "timestamp": "[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?"}
+
+
+def _type_rows() -> str:
+    """Every column by every type: how many values do not fit, and the least of them."""
+    columns = {"o_orderkey": "k", "o_custkey": "c", "o_orderstatus": "s", "o_totalprice": "p", "o_orderdate": "d"}
+    rows = []
+    for name, c in columns.items():
+        for at, (kind, pattern) in enumerate(_TYPE_PATTERNS.items()):
+            fits = f"(regexp_full_match({c}, '{pattern}') and try_cast({c} as {kind}) is not null)"
+            rows.append(
+                f"select '{name}' as column, '{kind}' as type, {at} as place, count({c}) as n_values, "
+                f"count(*) filter (where {c} is not null and not {fits}) as n_misfits, "
+                f"min({c}) filter (where not {fits}) as least_misfit from {_ORDERS_TEXT}")
+        rows.append(f"select '{name}', 'string', {len(_TYPE_PATTERNS)}, count({c}), 0, null from {_ORDERS_TEXT}")
+    return " union all ".join(rows)
+
+
 ORACLES = {
     "q_fact_star": """
         with t as (select distinct l_orderkey, l_partkey from lineitem),
@@ -366,6 +396,53 @@ ORACLES = {
                count(*) as n_appointments, count(amount) as n_billed,
                cast(sum(cast(amount as decimal(18,2))) as double) as revenue
         from f group by all""",
+    "q_fact_bucketed": f"with {_fact_tables(True)} {_FACT}",
+    "q_rejected_casts": f"""
+        with {_raw("appointments", clinic.appointments())}, {_CLEAN_APPOINTMENTS}
+        select {_int_id("appointment_id", "A")} as appointment_id, {_date_id("appointment_date")} as date_id,
+               'doctor_id' as column, doctor_id as raw
+        from a1 where doctor_id is not null and {_int_id("doctor_id", "D")} is null
+        union all
+        select {_int_id("appointment_id", "A")}, {_date_id("appointment_date")}, 'appointment_timestamp',
+               appointment_time
+        from a1 where appointment_date is not null and appointment_time = 'noon'""",
+    "q_rejected_values": f"""
+        select o_orderkey, 'o_custkey' as column, c as raw from {_ORDERS_TEXT} where c like 'c%'
+        union all select o_orderkey, 'o_totalprice', p from {_ORDERS_TEXT} where p = 'n/a'
+        union all select o_orderkey, 'o_orderdate', d from {_ORDERS_TEXT} where d like '%?'""",
+    "q_rejected_counts": f"""
+        select 'o_orderkey' as name, count(*) as n_rows, 0 as n_rejected from orders
+        union all select 'o_custkey', count(*), count(*) filter (where c like 'c%') from {_ORDERS_TEXT}
+        union all select 'o_totalprice', count(*), count(*) filter (where p = 'n/a') from {_ORDERS_TEXT}
+        union all select 'o_orderdate', count(*), count(*) filter (where d like '%?') from {_ORDERS_TEXT}""",
+    "q_infer_types": f"""
+        select "column", type, n_values, n_misfits, least_misfit,
+               row_number() over (partition by "column", n_misfits = 0 order by place) = 1
+                 and n_misfits = 0 as chosen
+        from ({_type_rows()})""",
+    "q_profile_pruned": f"""
+        select {_mode("l_partkey", "lineitem")} as mode_l_partkey,
+               {_mode("price", "(select cast(cast(l_extendedprice as real) as double) as price from lineitem)")}
+                 as mode_price,
+               {_mode("hot", "(select case when l_returnflag = 'N' then 1.5::double else l_extendedprice end as hot from lineitem)")}
+                 as mode_hot,
+               {_mode("l_orderkey", "lineitem")} as mode_tied, cast(null as varchar) as mode_empty""",
+    "q_profile_deliveries": f"""
+        select {_mode("flag", "(select nullif(l_returnflag, 'R') as flag from lineitem)")} as mode_flag,
+               {_mode("l_partkey", "lineitem")} as mode_l_partkey,
+               {_mode("price", "(select cast(cast(l_extendedprice as real) as double) as price from lineitem)")}
+                 as mode_price,
+               (select avg(l_quantity::double) from lineitem) as mean_l_quantity""",
+    "q_pk_bitmap": """
+        select k, count(*) as n from (
+            select case when l_returnflag <> 'R' then l_orderkey - 2000 end as k from lineitem)
+        group by k having count(*) > 1 or k is null""",
+    "q_insert_by_index": """
+        select * replace (case when c_mktsegment = 'BUILDING' then c_name
+                               else concat('late ', c_name) end as c_name) from customer""",
+    "q_medallion_date": f"""
+        select {_CALENDAR_COLUMNS} from (
+            select cast(unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as date) as d)""",
     "q_medallion_fact": f"with {_fact_tables(False)} {_FACT}",
     "q_medallion_doctors": f"{_doctors(False)} {_DIM_DOCTORS}",
     "q_medallion_patients": f"{_patients(False)} {_DIM_PATIENTS}",
