@@ -54,10 +54,13 @@ def read_parquet(spark: SparkSession, path: str,
 
 
 def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None where there is no folder or no file in it."""
+    if not published.exists(spark, path):
+        return None
     try:
         return read_parquet(spark, path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 

@@ -14,7 +14,6 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,15 +45,23 @@ class Copy:
         return "wardmart_" + uuid.uuid5(uuid.NAMESPACE_URL, self.path).hex
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and its file system, as Spark reaches them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _place(spark, path)
+    return fs.exists(place)
+
+
 def copies(spark: SparkSession, path: str) -> list[Copy]:
     """All published copies, the current one first; empty if there is no ledger."""
     path = path.rstrip("/")
-    try:
-        rows = spark.read.schema(_ROW).json(f"{path}/{LEDGER}").collect()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
+    if not exists(spark, f"{path}/{LEDGER}"):
+        return []
+    rows = spark.read.schema(_ROW).json(f"{path}/{LEDGER}").collect()
     return [Copy(r.number, f"{path}/{r.folder}", r.made_from,
                  Buckets(tuple(r.bucket_columns), r.buckets) if r.buckets else None)
             for r in sorted(rows, key=lambda r: (r.number, r.folder), reverse=True)]
@@ -125,8 +132,8 @@ def _prune(spark: SparkSession, made: Sequence[Copy], keep: int) -> None:
     for copy in made[keep:keep + 8]:  # older ones went with earlier calls
         if copy.buckets is not None:
             spark.sql(f"drop table if exists {copy.table}")
-        folder = spark._jvm.org.apache.hadoop.fs.Path(copy.path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        fs, folder = _place(spark, copy.path)
+        fs.delete(folder, True)
 
 
 def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
