@@ -3,12 +3,17 @@
 Each text becomes a few statistics (lengths, shares of letters, digits, signs and capitals,
 repeated words and lines, marks glued to words). Random Fourier features of these approximate
 a Gaussian kernel. The normal equations are summed over partitions, so that only a matrix of
-``FEATURES`` squared reaches the driver, and solved there. The raw scores of labelled
-documents that were left out of the fit are pooled into ``BINS`` bins and made monotone by
-pooling adjacent violators; that curve turns raw scores into probabilities.
-
-Null and empty texts have statistics of zero and are scored like any other. Without both
-labels among the training rows every score is the share of label 1, or 0.5 without rows.
+``FEATURES`` squared reaches the driver for each of ``FOLDS`` folds, and solved there. Every
+labelled document is scored by weights that were fitted on the other folds; these raw scores
+are pooled into ``BINS`` bins and made monotone by pooling adjacent violators, and that curve
+turns raw scores into probabilities. All folds together give the final weights. It is the same
+at every size.
+
+Null and empty texts have statistics of zero and are scored like any other; very long texts are
+read whole. Repeated rows are scored each, and each counts in the fit; rows of one doc_id lie in
+one fold. A doc_id with unlike labels counts as label 1. Null labels and labels without a
+document are left out. Without both labels among the training rows every score is the share of
+label 1, or 0.5 without rows. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,8 +32,8 @@ BINS = 400
 RIDGE = 1.0
 #: Width of the kernel, in standard deviations of the statistics times their root number.
 WIDTH = 2.0
-#: Share of the training rows, in hundredths, kept for calibration.
-CALIBRATION = 25
+#: Parts of the training rows, each scored by weights that do not know it.
+FOLDS = 4
 
 _CLASSES = {
     "letter": [*range(65, 91), *range(97, 123), *range(128, 256)], "upper": range(65, 91),
@@ -171,24 +176,33 @@ def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def _equations(model: Model):
-    """Each partition's sums: one row for each feature, with the label's product at the end."""
+    """Each partition's sums: one row for each fold and feature, with the label's product at the end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((FEATURES, FEATURES + 1))
+        total = np.zeros((FOLDS, FEATURES, FEATURES + 1))
         for batch in batches:
             x = model.features(_matrix(batch.column("stats")))
-            y = batch.column("quality").to_numpy().astype(float)
-            total += x.T @ np.column_stack([x, y])
+            y, fold = batch.column("quality").to_numpy().astype(float), batch.column("fold").to_numpy()
+            for f in np.unique(fold):
+                mine = fold == f
+                total[f] += x[mine].T @ np.column_stack([x[mine], y[mine]])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(FEATURES)), pa.array(list(total), pa.list_(pa.float64()))],
-            names=["feature", "sums"])
+            [pa.array(np.repeat(np.arange(FOLDS), FEATURES)), pa.array(np.tile(np.arange(FEATURES), FOLDS)),
+             pa.array(list(total.reshape(-1, FEATURES + 1)), pa.list_(pa.float64()))],
+            names=["fold", "feature", "sums"])
     return run
 
 
-def _bins(model: Model, low: float, high: float):
+def solved(normal: np.ndarray) -> np.ndarray:
+    return np.linalg.solve(normal[:, :-1] + RIDGE * np.eye(FEATURES), normal[:, -1])
+
+
+def _bins(model: Model, weights: np.ndarray, low: float, high: float):
+    """Rows and labels by raw score, each row scored by the weights that do not know its fold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BINS, 2))
         for batch in batches:
-            raw = model.raw(_matrix(batch.column("stats")))
+            own = weights[batch.column("fold").to_numpy()]
+            raw = (model.features(_matrix(batch.column("stats"))) * own).sum(axis=1)
             at = np.clip((raw - low) / (high - low) * BINS, 0, BINS - 1).astype(int)
             total[:, 0] += np.bincount(at, minlength=BINS)
             total[:, 1] += np.bincount(at, batch.column("quality").to_numpy().astype(float), BINS)
@@ -197,11 +211,22 @@ def _bins(model: Model, low: float, high: float):
     return run
 
 
+def equations(train: DataFrame, model: Model) -> np.ndarray:
+    """The normal equations of each fold of ``train`` (stats, quality, fold), label products last."""
+    sums = (
+        train.mapInArrow(_equations(model), "fold long, feature long, sums array<double>")
+        .select("fold", "feature", F.posexplode("sums").alias("column", "value"))
+        .groupBy("fold", "feature", "column").agg(F.sum("value").alias("value")).toPandas())
+    normal = np.zeros((FOLDS, FEATURES, FEATURES + 1))
+    normal[sums.fold.to_numpy(), sums.feature.to_numpy(), sums["column"].to_numpy()] = sums.value
+    return normal
+
+
 def fit(stats: DataFrame, labels: DataFrame) -> Model:
     """Learns from the rows of ``stats`` that ``labels`` (doc_id, quality 0 or 1) has; all of them."""
-    spark = stats.sparkSession
     marked = labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    train = written(stats.join(marked, "doc_id").select("doc_id", "stats", "quality"), "train")
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold")
+    train = written(stats.join(marked, "doc_id").select("doc_id", "stats", "quality", fold), "train")
     columns = [F.col("stats")[i] for i in range(len(STATISTICS))]
     moments = train.agg(
         F.array(*[F.avg(c) for c in columns]).alias("mean"),
@@ -213,27 +238,18 @@ def fit(stats: DataFrame, labels: DataFrame) -> Model:
     model.levels = np.array([moments.good])
     if moments.good in (0, 1):
         return model
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(100))
-    if moments.n < 400:
-        fitted = calibrated = train
-    else:
-        fitted, calibrated = train.where(part >= CALIBRATION), train.where(part < CALIBRATION)
-    sums = (
-        fitted.mapInArrow(_equations(model), "feature long, sums array<double>")
-        .select("feature", F.posexplode("sums").alias("column", "value"))
-        .groupBy("feature", "column").agg(F.sum("value").alias("value")).toPandas())
-    normal = np.zeros((FEATURES, FEATURES + 1))
-    normal[sums.feature.to_numpy(), sums["column"].to_numpy()] = sums.value
-    model.weights = np.linalg.solve(normal[:, :-1] + RIDGE * np.eye(FEATURES), normal[:, -1])
+    normal = equations(train, model)
+    whole = normal.sum(axis=0)
+    model.weights = solved(whole)
+    weights = np.stack([solved(whole - part) for part in normal])
     low, high = -0.25, 1.25
     bins = (
-        calibrated.mapInArrow(_bins(model, low, high), "bin long, n double, good double")
+        train.mapInArrow(_bins(model, weights, low, high), "bin long, n double, good double")
         .groupBy("bin").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
         .where("n > 0").orderBy("bin").toPandas())
     n, good = bins.n.to_numpy(), bins.good.to_numpy()
-    if len(n):
-        model.knots = low + (bins.bin.to_numpy() + 0.5) * (high - low) / BINS
-        model.levels = isotonic(good / n, n)
+    model.knots = low + (bins.bin.to_numpy() + 0.5) * (high - low) / BINS
+    model.levels = isotonic(good / n, n)
     return model
 
 
