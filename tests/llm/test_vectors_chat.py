@@ -103,13 +103,13 @@ def linked_truth(units):
     return out
 
 
-def recall(spark, units, **sizes):
+def recall(spark, units, least=500):
     """Share of the true pairs whose two sides are in one component of the links."""
     rows = [(i, 64, [float(x) for x in v]) for i, v in enumerate(units)]
     nodes = spark.createDataFrame(rows, "node long, dim int, embedding array<double>").repartition(8)
     component = {r.node: r.component for r in components(near_vectors.window_links(nodes, len(rows))).collect()}
     truth = linked_truth(units)
-    assert len(truth) >= 500
+    assert len(truth) >= least
     return sum(component.get(a, -1) == component.get(b, -2) for a, b in truth) / len(truth)
 
 
@@ -119,10 +119,33 @@ def test_near_vectors_dense_group(spark):
 
 def test_near_vectors_dense_group_by_passes(spark, monkeypatch):
     monkeypatch.setattr(near_vectors, "WINDOW", 64)
+    monkeypatch.setattr(near_vectors, "LEAST_PASSES", 0)
     monkeypatch.setattr(near_vectors, "all_links", lambda nodes, n: nodes.selectExpr("node a", "node b").where("false"))
     assert recall(spark, planted(6_000, 0.8)) >= 0.98
 
 
+@pytest.mark.parametrize("n, group, pairs", [
+    (500, 0.0, 100), (500, 0.9, 60), (2_000, 0.0, 300), (2_000, 0.9, 300), (50_000, 0.0, 500), (50_000, 0.9, 500)])
+def test_near_vectors_by_passes_at_every_size(spark, monkeypatch, n, group, pairs):
+    """The passes find the pairs alone, without any comparison of all with all."""
+    monkeypatch.setattr(near_vectors, "all_links", lambda nodes, n: nodes.selectExpr("node a", "node b").where("false"))
+    assert recall(spark, planted(n, group, pairs=pairs), pairs) >= 0.9
+
+
+def test_repeated_ids(spark):
+    """Unlike vectors of one id keep their links; equal rows are one vector."""
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    near = [1.0, 0.01, 0.0]
+    rows = [(1, a), (1, b), (3, near), (4, b), (5, [0.0, 0.0, 1.0]), (5, [0.0, 0.0, 1.0])]
+    found = sorted((r.vec_id, r.n_links, r.component_id, r.kept)
+                   for r in near_vectors.near_duplicates(vectors(spark, rows)).collect())
+    assert found == [(1, 1, 1, True), (1, 1, 1, True), (3, 1, 1, False), (4, 1, 1, False),
+                     (5, 0, 5, True), (5, 0, 5, True)]
+    both = [(7, a), (7, near), (8, a)]
+    found = sorted((r.vec_id, r.n_links, r.component_id) for r in near_vectors.near_duplicates(vectors(spark, both)).collect())
+    assert found == [(7, 2, 7), (7, 2, 7), (8, 2, 7)]
+
+
 def test_near_vectors_evenly_spread(spark):
     assert recall(spark, planted(20_000, 0.0)) >= 0.998
 

@@ -2,20 +2,21 @@
 
 Equal vectors are one class. In each pass every class gets a code, the signs of its
 products with random directions, drawn anew for the pass; classes are ordered by their codes
-as text and each is compared with at least the next ``WINDOW``. Alike vectors share most
+as text and each is compared with at least the next ones of a window. Alike vectors share most
 signs, so that in some pass they lie close by. How likely a pass misses a pair is taken from
-the data: the first class beyond a class's window tells how many leading signs must agree for
-an alike one to lie inside it. A class takes part in passes until the product of these shares
-is at most ``MISSED``; in a dense group that takes far more passes than elsewhere. Once the
-passes have cost as much as comparing all classes that still take part with one another,
-just that is done, so no class is left with less. Pairs that are alike are united over all
-passes into components. A window holds no more than a bounded part of a large component, so
-all classes of a component are then compared with one another, in tiles of bounded size that
-only count links.
+the data: the first class beyond a class's window, or the last one its task has, tells how many
+leading signs must agree for an alike one to lie inside. A class takes part in passes until the
+product of these shares is at most ``MISSED``; in a dense group that takes far more passes than
+elsewhere. Classes that ``LEAST_PASSES`` have not brought there are a dense group; once the
+passes have cost as much as comparing all of it with itself, just that is done, so no class is
+left with less. Pairs that are alike are united over all passes into components. A window holds
+no more than a bounded part of a large component, so all classes of a component are then
+compared with one another, in tiles of bounded size that only count links.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing
 and are their own component; so do rows without a vec_id. Vectors of unlike lengths do not
-meet. Rows with one vec_id count as one node.
+meet. Equal rows are one vector. Rows with one vec_id and unlike vectors are vectors of their
+own, each with its own links and component; another vector counts both.
 """
 
 from __future__ import annotations
@@ -33,11 +34,15 @@ from wardmart.llm.components import components
 from wardmart.llm.vectors import finite, matrix
 
 COSINE = 0.95
-WINDOW = 1024
-#: Share of pairs at the threshold that all passes of a class together may miss.
-MISSED = 0.001
-#: Passes of the first round; each later round doubles their number.
-PASSES = 8
+#: Classes that each one is compared with to either side: a share of all, within bounds.
+WINDOW, LEAST_WINDOW, WINDOW_SHARE = 1024, 8, 1 / 32
+#: Share of pairs at the threshold that all passes of a class together may miss, were the signs
+#: of alike classes independent of those of the others. In a dense group they are not quite, and
+#: more are missed: hence so little.
+MISSED = 0.0001
+#: Passes of the first round, each later one doubles their number; passes before all classes
+#: that are left count as one dense group.
+PASSES, LEAST_PASSES = 8, 64
 BITS = 60
 #: Classes of one side of a tile that counts links, and of one that compares all that is left.
 TILE = 1024
@@ -48,6 +53,10 @@ def _directions(which: int, dim: int) -> np.ndarray:
     return np.random.default_rng([17, which, dim]).normal(size=(dim, BITS))
 
 
+def window_for(n: int) -> int:
+    return min(WINDOW, max(LEAST_WINDOW, math.ceil(n * WINDOW_SHARE)))
+
+
 def _coder(passes: range):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
@@ -87,54 +96,55 @@ def _joined(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarra
     return rows, first[rows]
 
 
-def _gains(turn: np.ndarray, dim: np.ndarray, code: np.ndarray) -> np.ndarray:
+def _gains(turn: np.ndarray, dim: np.ndarray, code: np.ndarray, window: int) -> np.ndarray:
     """Log of the share of pairs at the threshold that this pass may miss, for each sorted row.
 
-    A row that shares fewer leading signs with the first rows out of its window than with
-    another one has that one inside. What lies beyond the partition is unknown: no gain there.
+    The further apart two rows stand, the fewer leading signs they share. So whoever shares more
+    of them with a row than the first one out of its window does has been compared with it; at
+    the end of a partition the last row stands for all beyond.
     """
     depth = np.zeros(len(code), np.int64)
-    for side in (-WINDOW - 1, WINDOW + 1):
-        at = np.arange(len(code)) + side
-        known = (at >= 0) & (at < len(code))
-        at = np.where(known, at, 0)
+    for side in (-window - 1, window + 1):
+        at = np.clip(np.arange(len(code)) + side, 0, len(code) - 1)
         differ = code ^ code[at]
         high = differ >> 30
         length = np.where(high > 0, 30 + np.frexp(high)[1], np.frexp(differ & ((1 << 30) - 1))[1])
         same = (turn == turn[at]) & (dim == dim[at])
-        depth = np.maximum(depth, np.where(known, np.where(same, BITS - length + 1, 0), BITS + 1))
+        depth = np.maximum(depth, np.where(same, BITS - length + 1, 0))
     together = (1 - math.acos(COSINE) / math.pi) ** depth
     return np.where(depth > BITS, 0.0, np.log(np.maximum(1 - together, 1e-300)))
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _neighbours(window: int):
     """Links between rows, sorted by code, and the next ones in their window; gains of all rows."""
-    held: pa.Table | None = None
-    orders = []
-    for batch in batches:
-        orders.append([batch.column(c).to_numpy() for c in ("pass", "dim", "code", "node")])
-        table = pa.Table.from_batches([batch])
-        if held is not None:
-            table = pa.concat_tables([held, table])
-        held = table.slice(max(0, table.num_rows - WINDOW))
-        turn, dim, node = (table.column(c).to_numpy() for c in ("pass", "dim", "node"))
-        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        cuts = np.flatnonzero((turn[1:] != turn[:-1]) | (dim[1:] != dim[:-1])) + 1
-        for low, high in zip([0, *cuts], [*cuts, len(turn)]):
-            unit = _units(matrix(table.column("embedding").slice(low, high - low)))
-            for at in range(0, high - low, WINDOW):
-                block = unit[at:at + 2 * WINDOW]
-                a, b = np.nonzero(np.triu(block[:WINDOW] @ block.T >= COSINE, 1))
-                a, b = _joined(a, b, len(block))
-                left.append(node[low + at + a])
-                right.append(node[low + at + b])
-        a, b = np.concatenate(left), np.concatenate(right)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a), pa.array(b), pa.nulls(len(a), pa.float64())], names=["a", "b", "gain"])
-    if orders:
-        turn, dim, code, node = (np.concatenate(x) for x in zip(*orders))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(node), pa.array(node), pa.array(_gains(turn, dim, code))], names=["a", "b", "gain"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        orders = []
+        for batch in batches:
+            orders.append([batch.column(c).to_numpy() for c in ("pass", "dim", "code", "node")])
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            held = table.slice(max(0, table.num_rows - window))
+            turn, dim, node = (table.column(c).to_numpy() for c in ("pass", "dim", "node"))
+            left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            cuts = np.flatnonzero((turn[1:] != turn[:-1]) | (dim[1:] != dim[:-1])) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(turn)]):
+                unit = _units(matrix(table.column("embedding").slice(low, high - low)))
+                for at in range(0, high - low, window):
+                    block = unit[at:at + 2 * window]
+                    a, b = np.nonzero(np.triu(block[:window] @ block.T >= COSINE, 1))
+                    a, b = _joined(a, b, len(block))
+                    left.append(node[low + at + a])
+                    right.append(node[low + at + b])
+            a, b = np.concatenate(left), np.concatenate(right)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a), pa.array(b), pa.nulls(len(a), pa.float64())], names=["a", "b", "gain"])
+        if orders:
+            turn, dim, code, node = (np.concatenate(x) for x in zip(*orders))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node), pa.array(node), pa.array(_gains(turn, dim, code, window))], names=["a", "b", "gain"])
+    return run
 
 
 def all_links(nodes: DataFrame, n: int) -> DataFrame:
@@ -166,14 +176,16 @@ def all_links(nodes: DataFrame, n: int) -> DataFrame:
 def window_links(nodes: DataFrame, n: int) -> DataFrame:
     """Links (a, b) that connect all alike nodes found in the windows of all passes."""
     keys = ("pass", "dim", "code", "node")
+    kind = nodes.schema["embedding"].dataType.simpleString()
     left = nodes.select("node", "dim", "embedding", F.lit(0.0).alias("missed"))
     links, done, step = [], 0, PASSES
-    while (done + step) * 2 * WINDOW < n:
+    while n > 1 and (done < LEAST_PASSES or (done + step) * 2 * WINDOW < n):
+        window = window_for(n)
         coded = left.mapInArrow(
-            _coder(range(done, done + step)), "pass int, dim int, code long, node long, embedding array<double>")
+            _coder(range(done, done + step)), f"pass int, dim int, code long, node long, embedding {kind}")
         found = written(
-            coded.repartitionByRange(max(1, n * step // (32 * WINDOW)), *keys).sortWithinPartitions(*keys)
-            .mapInArrow(_neighbours, "a long, b long, gain double"), "pass")
+            coded.repartitionByRange(max(1, n * step // (32 * window)), *keys).sortWithinPartitions(*keys)
+            .mapInArrow(_neighbours(window), "a long, b long, gain double"), "pass")
         links.append(found.where("gain is null").select("a", "b").distinct())
         gains = found.where("gain is not null").groupBy(F.col("a").alias("node")).agg(F.sum("gain").alias("gain"))
         left = written(
@@ -181,7 +193,7 @@ def window_links(nodes: DataFrame, n: int) -> DataFrame:
             .where(F.col("missed") > math.log(MISSED)), "left")
         n = left.count()
         done, step = done + step, done + step
-    out = all_links(left, n)
+    out = all_links(left, n) if n > 1 else nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     for some in links:
         out = out.union(some)
     return out.distinct()
@@ -221,25 +233,31 @@ def counted_links(members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
-    """vec_id, n_links, component_id and kept of every row of ``vectors`` (vec_id, embedding)."""
+    """vec_id, n_links, component_id and kept of every row of ``vectors`` (vec_id, embedding).
+
+    A node is a class of equal vectors and stands for as many vectors as it has vec_ids.
+    """
     both = [F.xxhash64("embedding").alias("h"), F.xxhash64(F.lit(7), "embedding").alias("h2")]
     some = F.exists("embedding", lambda x: x != 0)
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     usable = finite("embedding") & F.coalesce(some, F.lit(False)) & F.col("vec_id").isNotNull()
-    marked = rows.withColumn("usable", usable)
+    marked = vectors.select("vec_id", "embedding", usable.alias("usable"))
     valid = marked.where("usable").select("vec_id", "embedding", F.size("embedding").alias("dim"), *both)
-    same = written(valid.groupBy("h", "h2").agg(F.min("vec_id").alias("node"), F.count("*").alias("size")), "same")
-    nodes = written(
-        valid.join(same, ["h", "h2"]).where("vec_id = node")
-        .groupBy("node").agg(F.min(F.struct("dim", "embedding")).alias("v"), F.max("size").alias("size"))
-        .select("node", "size", "v.dim", "v.embedding"), "nodes")
-    n = nodes.count()
-    found = written(components(written(window_links(nodes, n), "links")), "components")
+    classes = written(
+        valid.groupBy("h", "h2", "vec_id").agg(F.first("dim").alias("dim"), F.first("embedding").alias("embedding"))
+        .groupBy("h", "h2").agg(
+            F.min("vec_id").alias("least"), F.count("*").alias("size"), F.first("dim").alias("dim"),
+            F.first("embedding").alias("embedding"))
+        .withColumn("node", F.monotonically_increasing_id()), "classes")
+    nodes = classes.select("node", "size", "dim", "embedding")
+    found = written(components(written(window_links(nodes, nodes.count()), "links")), "components")
     links = counted_links(nodes.join(found, "node"))
+    known = (
+        classes.select("h", "h2", "node", "least", "size").join(found, "node", "left").join(links, "node", "left")
+        .select("h", "h2", "least", "component", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links")))
+    smallest = known.where("component is not null").groupBy("component").agg(F.min("least").alias("smallest"))
     known = written(
-        same.join(found, "node", "left").join(links, "node", "left")
-        .select("h", "h2", F.coalesce("component", "node").alias("component"),
-                (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links")), "known")
+        known.join(smallest, "component", "left")
+        .select("h", "h2", F.coalesce("smallest", "least").alias("component"), "links"), "known")
     keyed = marked.select("vec_id", *(F.when(F.col("usable"), c).alias(k) for c, k in zip(both, ("h", "h2"))))
     out = keyed.join(known, ["h", "h2"], "left")
     component = F.coalesce("component", "vec_id")
