@@ -1,7 +1,8 @@
 """Token pieces of documents packed into sequences by best-fit decreasing.
 
 A document is cut into full windows from its start; what is left over is one shorter piece.
-Pieces are spread over bundles by a hash, so that no key gathers in one task; in a bundle
+Pieces are spread over bundles by a hash of their place in the stored table, so that neither
+equal nor missing ids gather in one task; in a bundle
 the pieces go, longest first, into the open sequence with the least room that still
 suffices, found by a segment tree over the remaining capacities.
 
@@ -199,18 +200,18 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
 
 def pack(found: DataFrame, capacity: int = CAPACITY, bundle: int = BUNDLE) -> DataFrame:
     """``found`` (with doc_id, start and length) and the place of each piece: sequence_id, offset."""
-    found = written(found, "pieces")
-    bundles = max(1, -(-found.count() // bundle))
     names = found.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
+    found = written(found.withColumn("__row", F.monotonically_increasing_id()), "pieces")
+    bundles = max(1, -(-found.count() // bundle))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("start", "ascending")])
+        table = table.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("__row", "ascending")])
         sequence, offset = best_fit(table.column("length").to_numpy(), capacity)
         first = table.column("__bundle")[0].as_py() << 32
         return table.select(names).append_column("sequence_id", pa.array(sequence + first)) \
             .append_column("offset", pa.array(offset))
 
     return (
-        found.withColumn("__bundle", F.pmod(F.xxhash64("doc_id", "start"), F.lit(bundles)))
+        found.withColumn("__bundle", F.pmod(F.xxhash64("__row"), F.lit(bundles)))
         .groupBy("__bundle").applyInArrow(run, f"{fields}, sequence_id long, offset long"))

@@ -5,16 +5,19 @@ document of smaller doc_id, or before in the same one. Of all suffixes only anch
 in each window the place whose next ``KEY`` bytes have the least hash. Equal windows choose
 equal anchors, so it is enough to compare what lies around them.
 
-1. Anchors are range-partitioned by their leading bytes, at splitters from a sample. The
-   order goes on with a hash of the context (all bytes of the windows that chose the anchor)
-   and the place, so that a very frequent suffix spreads over several buckets.
+1. Anchors are range-partitioned by their leading bytes into buckets, at splitters from a
+   sample chosen by hash. The order goes on with a hash of the context (all bytes of the windows
+   that chose the anchor) and the place, so that a very frequent suffix spreads over several
+   buckets. The number of buckets follows the counted bytes, and a task takes neighbouring
+   buckets one after the other: what it holds does not grow with the data.
 2. Each bucket sorts its suffixes by multikey quicksort, eight bytes at a time, deeper only
    where keys tie. Of neighbours with the same context all but the first are covered whole.
 3. Where suffixes with the same leading bytes have different contexts, or touch a bucket's
    bounds, the first of each context is compared window by window with the others.
 
-Null and empty texts stay as they are, as do texts without a doc_id. Rows that share a doc_id
-count as one document: equal places in them are one place, and they are cut alike.
+Null and empty texts stay as they are, as do texts without a doc_id, which is a whole number.
+Rows that share a doc_id count as one document: equal places in them are one place, and they
+are cut alike. Very long texts are read in overlapping blocks. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,14 +33,16 @@ from wardmart.llm.common import Prefixes, among, freeing, mixed, partitions, sli
 
 LENGTH = 100
 KEY = 24
-#: Documents that the splitters are taken from, and anchors of these.
-SAMPLE_DOCS, SAMPLE_ANCHORS = 1000, 100_000
-#: Buckets for each shuffle partition of the session.
-BUCKETS = 3
+#: Documents that the splitters are taken from at least, and anchors of these; anchors a bucket.
+SAMPLE_DOCS, SAMPLE_ANCHORS, SAMPLE_A_BUCKET = 1000, 100_000, 8
+#: Tasks for each shuffle partition of the session, and bytes of text whose anchors are a bucket.
+TASKS, BUCKET_BYTES = 3, 8 << 20
+#: Bytes of text from which one anchor is taken on average.
+ANCHOR_BYTES = 38
 #: Window starts that numpy looks at in one go.
 BLOCK = 1 << 18
-#: Contexts with the same leading bytes that one task compares; more are dealt by window.
-TOGETHER = 200_000
+#: Contexts with the same leading bytes that are compared at once; more are dealt by window.
+TOGETHER = 30_000
 
 _REACH = LENGTH - KEY + 1  # places a window chooses from
 _PLACE = np.uint64((1 << 28) - 1)
@@ -132,11 +137,16 @@ def _anchor_rows(splitters: np.ndarray):
     return run
 
 
-def splitters(docs: DataFrame, buckets: int) -> np.ndarray:
-    """Bounds of ``buckets`` equal ranges of suffixes, from a bounded sample of documents."""
-    n = max(docs.count(), 1)
-    rows = docs.sample(min(1.0, SAMPLE_DOCS / n), seed=9).mapInArrow(_anchor_rows(np.empty(0, "S40")), _ROW)
-    found = rows.select(*_COLUMNS).limit(SAMPLE_ANCHORS).toPandas()
+def splitters(docs: DataFrame, buckets: int, rows: int, size: int) -> np.ndarray:
+    """Bounds of ``buckets`` equal ranges of suffixes, for ``rows`` texts of ``size`` bytes.
+
+    Some documents are sampled, and of their anchors those with the least hashes. The sample
+    is a few dozen bytes for each ``BUCKET_BYTES`` of text.
+    """
+    wanted = max(SAMPLE_ANCHORS, SAMPLE_A_BUCKET * buckets)
+    share = min(1.0, max(SAMPLE_DOCS / max(rows, 1), SAMPLE_A_BUCKET * buckets * ANCHOR_BYTES / max(size, 1)))
+    found = docs.sample(share, seed=9).mapInArrow(_anchor_rows(np.empty(0, "S40")), _ROW)
+    found = found.select(*_COLUMNS).orderBy(F.xxhash64(*_COLUMNS)).limit(wanted).toPandas()
     if not len(found):
         return np.empty(0, "S40")
     keys = np.sort(_composite([found[c].to_numpy(np.int64) for c in _COLUMNS]))
@@ -177,14 +187,39 @@ def _spans(kind, hashes, docs, low, high) -> pa.RecordBatch:
          pa.array(low), pa.array(high)], names=["kind", "hash", "doc", "low", "high"])
 
 
+def _stretches(batches: Iterator[pa.RecordBatch], key: str, least: int = 1) -> Iterator[list[pa.RecordBatch]]:
+    """Sorted rows in stretches of at least ``least`` rows that hold all rows of their keys."""
+    held, rows, last = [], 0, None
+    for batch in batches:
+        keys = batch.column(key).to_numpy()
+        if not len(keys):
+            continue
+        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        if last is not None and keys[0] != last:
+            cuts = np.append(0, cuts)
+        at = 0
+        for cut in cuts:
+            if rows + cut - at >= least:
+                if cut > at:
+                    held.append(batch.slice(at, cut - at))
+                yield held
+                held, rows, at = [], 0, cut
+        held.append(batch.slice(at))
+        rows, last = rows + len(keys) - at, keys[-1]
+    if held:
+        yield held
+
+
 @freeing
-def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring buckets, one after the other."""
+    for held in _stretches(batches, "bucket"):
+        columns = [np.concatenate(c) for c in zip(*([b.column(c).to_numpy() for c in _COLUMNS] for b in held))]
+        yield from _bucket(columns)
+
+
+def _bucket(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """One bucket: bytes that are covered, and anchors to compare window by window."""
-    parts = [[b.column(c).to_numpy() for c in _COLUMNS] for b in batches]
-    if not parts:
-        return
-    columns = [np.concatenate(c) for c in zip(*parts)]
-    del parts
     w0, w1, w2, context = (c.view(np.uint64) for c in columns[:4])
     order = multikey([w0, w1, w2, context, *columns[4:]])
     w0, w1, w2, context, doc, place = (c[order] for c in (w0, w1, w2, context, *columns[4:]))
@@ -238,12 +273,16 @@ def _windows(batch: pa.RecordBatch | pa.Table):
     return Prefixes(data).spans(at, at + LENGTH), key[owner], doc[owner], low[owner] + step
 
 
-@freeing
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All windows of a task's contexts that start elsewhere before."""
-    parts = [_windows(b) for b in batches if b.num_rows]
-    if not parts:
-        return
+def _comparer(most: int):
+    """All windows of contexts, sorted by their leading bytes' hash, that start elsewhere before."""
+    @freeing
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _stretches(batches, "hash", most // 8):
+            yield from _compared([_windows(b) for b in held])
+    return run
+
+
+def _compared(parts: list) -> Iterator[pa.RecordBatch]:
     hashed, key, doc, place = (np.concatenate(p) for p in zip(*parts))
     order = np.lexsort((place, doc, key, hashed))
     hashed, key, doc, place = hashed[order], key[order], doc[order], place[order]
@@ -283,7 +322,8 @@ def covered_windows(contexts: DataFrame) -> DataFrame:
     frequent = contexts.groupBy("hash").count().where(F.col("count") > TOGETHER).select("hash")
     frequent = written(frequent, "frequent")
     few = among(contexts, frequent, "hash", keep=False)
-    out = few.repartition(BUCKETS * partitions(spark), "hash").mapInArrow(_compared, _SPAN)
+    out = (few.repartition(TASKS * partitions(spark), "hash").sortWithinPartitions("hash")
+           .mapInArrow(_comparer(TOGETHER), _SPAN))
     if frequent.isEmpty():
         return out
     many = among(contexts, frequent, "hash").mapInArrow(
@@ -301,10 +341,13 @@ def covered_spans(docs: DataFrame) -> DataFrame:
     """doc, low, high: stretches of bytes that have an earlier copy; they may overlap."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    buckets = BUCKETS * partitions(spark)
-    rows = docs.mapInArrow(_anchor_rows(splitters(docs, buckets)), _ROW)
+    size = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
+    tasks = TASKS * partitions(spark)
+    buckets = max(tasks, -(-(size.bytes or 0) // BUCKET_BYTES))
+    rows = docs.mapInArrow(_anchor_rows(splitters(docs, buckets, size.rows, size.bytes or 0)), _ROW)
+    task = F.floor(F.col("bucket") * F.lit(tasks).cast("long") / buckets).cast("int")
     found = written(
-        rows.repartitionById(buckets, "bucket").select(*_COLUMNS).mapInArrow(_bucket, _SPAN), "spans")
+        rows.repartitionById(tasks, task).sortWithinPartitions("bucket").mapInArrow(_buckets, _SPAN), "spans")
     probes = found.where(F.col("kind") == PROBE).groupBy(F.col("doc").alias("doc_id")).agg(
         F.collect_list(F.struct("hash", "low", "high")).alias("probes"))
     probes = written(probes, "probes")
