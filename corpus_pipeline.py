@@ -4,6 +4,13 @@ Each stage reads what the one before it left, whole, and its decisions take effe
 of no known language go, of documents that are alike one stays, repeated stretches are cut,
 secrets are replaced, and what is left is packed. All stages but the last return the columns
 of ``documents``; ``n_chars`` follows the text.
+
+In every stage: an empty table gives an empty one, texts are read whole however long, null
+languages and sources stay as they are, and further columns pass through, except those named
+``__lang``, ``__score``, ``__unnamed``, ``__kept``, ``__removed`` and ``__spans``, which the stages
+use. Null and empty texts have no letters and go in the first stage. A doc_id names one text: rows with a
+repeated doc_id and unlike texts go or stay together where documents are alike, and count as one
+document where stretches repeat.
 """
 
 from __future__ import annotations
@@ -33,19 +40,38 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(good).withColumn("lang", F.col("__lang")).select(docs.columns)
 
 
+def _once(docs: DataFrame) -> DataFrame:
+    """``docs`` with one of its rows that are equal in doc_id, null included, and text."""
+    numbered = docs.where("doc_id is not null")
+    repeated = written(numbered.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    odd = among(numbered, repeated, "doc_id").unionByName(docs.where("doc_id is null"))
+    if odd.isEmpty():
+        return docs
+    single = among(numbered, repeated, "doc_id", keep=False)
+    return written(single.unionByName(odd.dropDuplicates(["doc_id", "text"])), "once")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links join: the one with the smallest doc_id."""
+    """One document of each group that links join: the one with the smallest doc_id. Of rows
+    with equal doc_id and text one stays."""
     prepared(spark)
-    found = written(ngram_join.joined(docs).where("component_id <> doc_id").select("doc_id"), "copies")
-    return among(docs, found, "doc_id", keep=False)
+    kind, unnamed = docs.schema["doc_id"].dataType, F.col("doc_id").isNull()
+    # Rows without a doc_id stand for themselves under numbers above all others.
+    number = F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))
+    named = _once(docs).withColumns({"__unnamed": unnamed, "doc_id": F.coalesce(F.col("doc_id").cast("long"), number)})
+    found = written(ngram_join.joined(named).where("component_id <> doc_id").select("doc_id"), "copies")
+    kept = among(named, found, "doc_id", keep=False)
+    return kept.withColumn("doc_id", F.when(~F.col("__unnamed"), F.col("doc_id")).cast(kind)).select(docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without stretches that appeared before; a character cut in half goes whole."""
+    """Texts without stretches that appeared before; a character cut in half goes whole, and so
+    does a document of which nothing is left."""
     prepared(spark)
     found = suffix_dedup.deduplicated(docs, ("__kept", "__removed", "__spans"), as_text=True)
     text = F.when(F.col("__removed") == 0, F.col("text")).otherwise(F.col("__kept"))
-    return _with_text(found.withColumn("text", text), docs)
+    left = found.where((F.col("__removed") == 0) | (F.length("__kept") > 0))
+    return _with_text(left.withColumn("text", text), docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
