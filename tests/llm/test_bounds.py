@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import subprocess
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import ROOT
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wardmart.llm import packing, suffix_dedup
+from wardmart.llm import packing, secrets, suffix_dedup
 
 STAGES = dict(corpus_pipeline.STAGES)
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, __extra string"
@@ -137,3 +142,51 @@ def test_emptied_texts_go(spark):
     found = {r.doc_id: r for r in STAGES["repeats"](spark, frame(spark, rows), "").collect()}
     assert found.keys() == {1, 3, 4}
     assert found[1].text == passage and found[4].text == "own start " and found[4].n_chars == 10
+
+
+# Secrets
+
+_LARGE = """
+import base64, gzip, resource, sys
+sys.path.insert(0, {root!r})
+body = b"." * 23_500_000 + b" password=hunter2hunter2 " + b"." * 23_500_000
+inside = base64.b64encode(gzip.compress(base64.b64encode(body), mtime=0)).decode()
+del body
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+from wardmart.llm import secrets
+base, spans = secrets.spans("see " + inside + " there")
+assert base == [] and spans == [(4, 4 + len(inside.rstrip("=")), "assign")], spans
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+
+
+def test_a_large_body_takes_little_memory():
+    """Base64 of 63 MB inside a compressed body inside base64, at the real block size: the worker
+    stays below 600 MB, and the secret maps to the whole body."""
+    done = subprocess.run([sys.executable, "-c", _LARGE.format(root=ROOT)], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 600
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 64, 1 << 20])
+def test_runs_over_chunks(monkeypatch, chunk):
+    monkeypatch.setattr(secrets, "CHUNK", chunk)
+    rng = np.random.default_rng(chunk)
+    for _ in range(60):
+        data = bytes(rng.choice(list(b"ab0 -"), size=int(rng.integers(0, 90)), p=[.4, .2, .3, .05, .05]).astype(np.uint8))
+        for least in (1, 4, 24):
+            expected = [m.span() for m in re.finditer(rb"[0-9a-f]{%d,}" % least, data)]
+            assert secrets.long_runs(data, least) == expected
+
+
+def test_layers_map_back():
+    """Every byte of an inner layer stands for characters that hold it, also through several layers."""
+    text = "é %41%zz\\u0042&#67;D password%3Dhunter2hunter2 ü"
+    data = text.encode()
+    layer = next(secrets.unwrapped(secrets.Layer(data)))
+    assert layer.data == data.replace(b"%41", b"A").replace(b"%3D", b"=")
+    inner = next(x for x in secrets.unwrapped(layer) if x.data != layer.data)
+    for found, source in ((b"A", b"%41"), (b"B", b"\\u0042"), (b"C", b"&#67;"), (b"D p", b"D p"), (b"=", b"%3D")):
+        at = inner.data.index(found)
+        low, high = inner.span(at, at + len(found))
+        assert data[low:high] == source
