@@ -378,6 +378,22 @@ def test_word_is_not_cut():
     assert list(zip(begin, end)) == [(0, 300), (301, 302), (303, 373)]
 
 
+def test_signs_end_words():
+    data, starts = langid._lowered(["Word\u2014word \u201cÉté\u201d \U0001f600x\u00a0y \u0939\u093f\u0928\u094d\u0926\u0940\u0964", None])
+    begin, end, row = langid.letter_runs(data, starts)
+    assert [data[b:e].tobytes().decode() for b, e in zip(begin, end)] == [
+        "word", "word", "été", "x", "y", "\u0939\u093f\u0928\u094d\u0926\u0940"]
+    assert set(row) == {0}
+
+
+def test_columns_named_like_the_result_and_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "the and of", "en", "x", 7.0)] * 3 + [(2, None, None, "x", 7.0)],
+                               "doc_id long, text string, lang string, lang_pred string, score double")
+    found = langid.predict(df, langid.fit(df, queries.LANGUAGE_PIECES))
+    assert found.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    assert sorted((r.doc_id, r.lang_pred) for r in found.collect()) == [(1, "en")] * 3 + [(2, "und")]
+
+
 def test_long_foreign_run_keeps_language(spark):
     run = "".join(chr(0x1780 + i % 30) for i in range(40))
     en, fr = "the and of thing ", "été même où garçon "

@@ -2,12 +2,15 @@
 
 Every language has a probability for each piece of a fixed public vocabulary. A word's
 probability under a language is the sum over all ways to write it as a row of pieces, by the
-forward algorithm; a text's is the product over its words (runs of letters, lower case, of any
-length). Sums are kept as logs, as a long run has far less than the least double. Probabilities are fitted by expectation maximisation on at most
-``TRAIN_DOCS`` labelled documents a language, then every text is scored whole.
+forward algorithm; a text's is the product over its words (runs of letters and their marks, lower
+case, of any length; dashes, quotes and other signs of any script end them). Sums are kept as
+logs, as a long run has far less than the least double. Probabilities are fitted by expectation
+maximisation on at most ``TRAIN_DOCS`` labelled documents a language, then every text is scored
+whole, however long.
 
 Texts that are null or hold no letter are ``und`` with score 0; so is everything if nothing
-was labelled. A tie goes to the language that sorts first.
+was labelled. A tie goes to the language that sorts first. Repeated rows are scored each, and
+each counts in the fit. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,8 +161,12 @@ def expected(lat: Lattice, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.exp(before[lat.start] + logs + after[lat.end] - total[lat.word]) * weight[lat.word]
 
 
+#: Characters beyond ASCII that are neither letters nor marks on them.
+_NO_LETTERS = regex.compile(r"[^\x00-\x7F\p{L}\p{M}]+")
+
+
 def letter_runs(data: np.ndarray, starts: np.ndarray):
-    """Begin, end and row of each run of a-z and bytes above 127."""
+    """Begin, end and row of each run of a-z and bytes above 127 in texts from ``_lowered``."""
     inside = ((data >= 97) & (data < 123)) | (data >= 128)
     edge = np.ones(len(data) + 1, bool)
     edge[1:-1] = inside[1:] != inside[:-1]
@@ -171,7 +179,9 @@ def letter_runs(data: np.ndarray, starts: np.ndarray):
 
 
 def _lowered(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    return utf8(pa.array([(t or "").lower() for t in texts], pa.string()))
+    """Bytes of the texts in lower case, where only letters and marks are beyond ASCII."""
+    lower = [(t or "").lower() for t in texts]
+    return utf8(pa.array([t if t.isascii() else _NO_LETTERS.sub(" ", t) for t in lower], pa.string()))
 
 
 class Model:
