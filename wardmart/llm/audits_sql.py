@@ -1,9 +1,29 @@
-"""The source divergence audit and the clustering as SQL for the checking engine."""
+"""The n-gram join, the source divergence audit and the clustering as SQL for the checking engine."""
 
 from __future__ import annotations
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+# Sets of five-word shingles, links by their shared shingles, and all that links reach.
+NGRAMS = rf"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words
+  from documents),
+s as materialized (
+  select doc_id, case
+    when len(words) >= 5 then list_distinct(list_transform(
+      generate_series(1, len(words) - 4), lambda i: array_to_string(words[i:i + 4], ' ')))
+    when len(words) > 0 then [array_to_string(words, ' ')] else [] end as shingles from w),
+e as materialized (select doc_id, len(shingles) as n, unnest(shingles) as shingle from s),
+l as materialized (
+  select a.doc_id as a, b.doc_id as b from e a join e b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(a, b) as (select a, b from l union select r.a, l.b from r join l on r.b = l.a)
+select s.doc_id, len(s.shingles)::bigint as n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) as component_id
+from s left join r on r.a = s.doc_id group by s.doc_id, len(s.shingles)
+"""
+
 DIVERGENCE = rf"""
 with d as materialized (
   select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,

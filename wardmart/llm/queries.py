@@ -199,5 +199,5 @@ select query_id, rank::integer as rank, vec_id, score from r where rank <= 5
 """
 
 ORACLES: dict[str, str] = {
-    "op5_chat_format": _CHAT, "op10_top_k": _TOP, "op11_divergence": audits_sql.DIVERGENCE,
+    "op1_ngram_join": audits_sql.NGRAMS, "op5_chat_format": _CHAT, "op10_top_k": _TOP, "op11_divergence": audits_sql.DIVERGENCE,
     "op12_clusters": audits_sql.CENTROIDS}
