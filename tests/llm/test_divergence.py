@@ -52,12 +52,14 @@ def test_empty_transducer():
 
 def test_tally_hands_on_in_time():
     tally = Tally(3, 100)
-    tally.add("k", [b"a", b"a", b"b"], 3)
-    assert not tally.full and tally.counts["k"] == {b"a": 2, b"b": 1}
-    tally.add("j", [b"a"], 1)
-    assert tally.full
+    tally.add(("k", 1), tally.numbered("k", b"a a b"))
+    (key, numbers, n), = tally.counted()
+    assert key == ("k", 1) and {tally.words("k")[i]: c for i, c in zip(numbers, n)} == {b"a": 2, b"b": 1}
+    assert not tally.full
+    tally.add(("j", 1), tally.numbered("j", b"a"))
+    assert tally.full and tally.words("j") == [b"a"] and tally.words("none") == []
     tally.clear()
-    tally.add("k", [], 100)
+    tally.numbered("k", b" " * 100)
     assert tally.full
 
 

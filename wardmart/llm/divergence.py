@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardmart.llm.common import freeing, partitions, written
-from wardmart.llm.vocabulary import Tally, Transducer, terms
+from wardmart.llm.vocabulary import Tally, Transducer, pieces
 
 SCALE = 1_000_000_000
 #: Terms of one transducer, and bytes of them after which it ends too.
@@ -37,7 +37,7 @@ SHARD_TERMS, SHARD_BYTES = 1 << 16, 8 << 20
 #: Bytes of all transducers that a task may carry.
 CARRIED_BYTES = 64 << 20
 #: Different terms, and bytes of text, that a task counts before it hands the counts on.
-TALLY_TERMS, TALLY_BYTES = 200_000, 32 << 20
+TALLY_TERMS, TALLY_BYTES = 500_000, 64 << 20
 #: Parts that the terms of one stretch are dealt into when they go to their transducer.
 SALTS = 8
 #: Ordinals of a block and sources of a tile.
@@ -48,26 +48,24 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Key columns and the bytes of the text, row by row."""
     for batch in batches:
         *keys, text = (batch.column(i) for i in range(batch.num_columns))
-        for row, value in enumerate(text.cast(pa.large_binary())):
-            yield tuple(k[row].as_py() for k in keys), value.as_py()
+        yield from zip(zip(*(k.to_pylist() for k in keys)), text.cast(pa.large_binary()).to_pylist())
 
 
 def _document_terms(most: int, most_bytes: int):
     """lang, term and in how many documents, in parts that add up."""
     def out(tally: Tally) -> Iterator[pa.RecordBatch]:
-        for (lang,), counter in tally.counts.items():
+        for (lang,), numbers, n in tally.counted():
+            words = pa.array(tally.words(lang), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(counter), pa.string()), pa.array(list(counter), pa.binary()),
-                 pa.array(list(counter.values()), pa.int64())], names=["lang", "term", "n"])
+                [pa.repeat(lang, len(n)), words.take(pa.array(numbers)), pa.array(n)], names=["lang", "term", "n"])
         tally.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(most, most_bytes)
-        for key, text in _texts(batches):
-            seen: set[bytes] = set()
-            for piece in terms(text):
-                seen.update(piece)
-            tally.add(key, seen, len(text))
+        for (lang,), text in _texts(batches):
+            found = [np.unique(tally.numbered(lang, piece)) for piece in pieces(text)]
+            if found:
+                tally.add((lang,), found[0] if len(found) == 1 else np.unique(np.concatenate(found)))
             if tally.full:
                 yield from out(tally)
         yield from out(tally)
@@ -140,19 +138,18 @@ class Stretches:
     def add(self, lang: str, first: bytes, shard: int) -> None:
         self.firsts.setdefault(lang, []).append((first, shard))
 
-    def deal(self, lang: str, words: list[bytes]) -> Iterator[tuple[int, slice]]:
-        """Shards of a language and which of the sorted words fall into each."""
+    def deal(self, lang: str, words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+        """Shards of a language and the places of the words that fall into each."""
         its = sorted(self.firsts.get(lang, ()))
-        cuts = [0, *(bisect_left(words, first) for first, _ in its[1:]), len(words)]
-        for (_, shard), low, high in zip(its, cuts, cuts[1:]):
-            if high > low:
-                yield shard, slice(low, high)
-
-
-def _sorted_counts(tally: Tally) -> Iterator[tuple]:
-    for key, counter in tally.counts.items():
-        words = sorted(counter)
-        yield *key, words, np.fromiter((counter[w] for w in words), np.int64, len(words))
+        if len(its) == 1:
+            yield its[0][1], np.arange(len(words))
+        elif its:
+            at = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+            ranked = [words[i] for i in at]
+            cuts = [0, *(bisect_left(ranked, first) for first, _ in its[1:]), len(words)]
+            for (_, shard), low, high in zip(its, cuts, cuts[1:]):
+                if high > low:
+                    yield shard, at[low:high]
 
 
 def _stream(rows, batches: Iterator[pa.RecordBatch], stretches: Stretches, tally: Tally):
@@ -160,8 +157,8 @@ def _stream(rows, batches: Iterator[pa.RecordBatch], stretches: Stretches, tally
     for key, text in _texts(batches):
         if key[0] not in stretches.firsts:
             continue
-        for piece in terms(text):
-            tally.add(key, piece, sum(map(len, piece)))
+        for piece in pieces(text):
+            tally.add(key, tally.numbered(key[0], piece))
             if tally.full:
                 yield from rows(tally)
                 tally.clear()
@@ -171,15 +168,6 @@ def _stream(rows, batches: Iterator[pa.RecordBatch], stretches: Stretches, tally
 _COUNT = "lang string, source string, shard int, ordinal long, n long"
 
 
-def _counted(lang, source, shard, ordinals: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    held = ordinals >= 0
-    size = int(held.sum())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * size, pa.string()), pa.array([source] * size, pa.string()),
-         pa.array(np.full(size, shard, np.int32)), pa.array(ordinals[held]), pa.array(n[held])],
-        names=["lang", "source", "shard", "ordinal", "n"])
-
-
 def _carried(docs: DataFrame, shards: DataFrame) -> DataFrame:
     """Counts by ordinal; every task has all transducers and meets the text with them."""
     held, stretches = {}, Stretches()
@@ -192,11 +180,21 @@ def _carried(docs: DataFrame, shards: DataFrame) -> DataFrame:
         transducers, dealt = sent.value
 
         def rows(tally: Tally) -> Iterator[pa.RecordBatch]:
-            for lang, source, words, n in _sorted_counts(tally):
-                for shard, part in dealt.deal(lang, words):
+            places = {}
+            for lang in tally.numbers:  # each term walks once, however many occurrences it has
+                words = tally.words(lang)
+                shards, ordinals = np.zeros(len(words), np.int32), np.full(len(words), -1)
+                for shard, at in dealt.deal(lang, words):
                     base, t = transducers[lang, shard]
-                    found = t.ordinals(words[part])
-                    yield _counted(lang, source, shard, np.where(found < 0, -1, found + base), n[part])
+                    found = t.ordinals([words[i] for i in at.tolist()])
+                    shards[at], ordinals[at] = shard, np.where(found < 0, -1, found + base)
+                places[lang] = shards, ordinals
+            for (lang, source), numbers, n in tally.counted():
+                shards, ordinals = (x[numbers] for x in places[lang])
+                held = ordinals >= 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, int(held.sum())), pa.repeat(source, int(held.sum())), pa.array(shards[held]),
+                     pa.array(ordinals[held]), pa.array(n[held])], names=["lang", "source", "shard", "ordinal", "n"])
 
         yield from _stream(rows, batches, dealt, Tally(TALLY_TERMS, TALLY_BYTES))
 
@@ -237,13 +235,16 @@ def _dealt(docs: DataFrame, shards: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(tally: Tally) -> Iterator[pa.RecordBatch]:
-            for lang, source, words, n in _sorted_counts(tally):
-                for shard, part in stretches.deal(lang, words):
-                    size = part.stop - part.start
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * size), pa.array([source] * size), pa.array(np.full(size, shard, np.int32)),
-                         pa.array(words[part], pa.binary()), pa.array(n[part])],
-                        names=["lang", "source", "shard", "term", "n"])
+            terms, shards = {}, {}
+            for lang in tally.numbers:
+                words = tally.words(lang)
+                terms[lang], shards[lang] = pa.array(words, pa.binary()), np.zeros(len(words), np.int32)
+                for shard, at in stretches.deal(lang, words):
+                    shards[lang][at] = shard
+            for (lang, source), numbers, n in tally.counted():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), pa.array(shards[lang][numbers]),
+                     terms[lang].take(pa.array(numbers)), pa.array(n)], names=["lang", "source", "shard", "term", "n"])
 
         yield from _stream(rows, batches, stretches, Tally(TALLY_TERMS, TALLY_BYTES))
 
@@ -303,7 +304,7 @@ def _tile(table: pa.Table) -> pa.Table:
         value.append(found)
     a, b, value = (np.concatenate(x).astype(np.int64) for x in (left, right, value))
     return pa.table({
-        "lang": pa.array([table.column("lang")[0].as_py()] * len(a), pa.string()), "a": a, "b": b, "value": value,
+        "lang": pa.repeat(table.column("lang")[0].as_py(), len(a)), "a": a, "b": b, "value": value,
         "terms": np.full(len(a), len(listed), np.int64)})
 
 

@@ -8,7 +8,7 @@ vocabulary is a row of transducers, each over a bounded stretch of the order.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from os.path import commonprefix
@@ -30,39 +30,67 @@ def _plain(byte: int) -> int:
 _PLAIN = bytes(map(_plain, range(256)))
 
 
-def terms(text: bytes) -> Iterator[list[bytes]]:
-    """The terms of a whole text in UTF-8, some at a time."""
+def pieces(text: bytes) -> Iterator[bytes]:
+    """A whole text in UTF-8 with blanks between its terms, some at a time; no term is cut."""
     data = text.translate(_PLAIN)
     at = 0
     while at < len(data):
         end = data.find(b" ", at + PIECE)
         end = len(data) if end < 0 else end
-        yield data[at:end].split()
+        yield data[at:end]
         at = end
 
 
+def terms(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a whole text, some at a time."""
+    return (piece.split() for piece in pieces(text))
+
+
 class Tally:
-    """Counts of terms by key that a task holds until they are many or their texts are long."""
+    """Counts of terms by language and a further key, which a task holds for a while.
+
+    The terms of a language are numbered as they come, and their occurrences are kept as numbers
+    until they are counted. ``full`` tells when terms, their bytes or occurrences are many.
+    """
 
     def __init__(self, most: int, most_bytes: int):
         self.most, self.most_bytes = most, most_bytes
         self.clear()
 
     def clear(self) -> None:
-        self.counts: dict[object, Counter] = {}
+        self.numbers: dict[str, defaultdict] = {}
+        self.found: dict[tuple, list[np.ndarray]] = {}
         self.size = self.bytes = 0
 
-    def add(self, key, found: Iterable[bytes], n_bytes: int) -> None:
-        counter = self.counts.setdefault(key, Counter())
-        before = len(counter)
-        counter.update(found)
-        self.size += len(counter) - before
-        self.bytes += n_bytes
+    def numbered(self, lang: str, piece: bytes) -> np.ndarray:
+        """The numbers of a piece's terms."""
+        numbers = self.numbers.get(lang)
+        if numbers is None:
+            numbers = self.numbers[lang] = defaultdict()
+            numbers.default_factory = numbers.__len__
+        before, words = len(numbers), piece.split()
+        out = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+        self.size += len(numbers) - before
+        self.bytes += len(piece)
+        return out
+
+    def add(self, key: tuple, occurrences: np.ndarray) -> None:
+        """Occurrences of numbered terms under ``key``, which begins with their language."""
+        self.found.setdefault(key, []).append(occurrences)
 
     @property
     def full(self) -> bool:
         return self.size >= self.most or self.bytes >= self.most_bytes
 
+    def words(self, lang: str) -> list[bytes]:
+        """The terms of a language by their numbers."""
+        return list(self.numbers.get(lang, ()))
+
+    def counted(self) -> Iterator[tuple[tuple, np.ndarray, np.ndarray]]:
+        """Every key with the numbers of its terms and their counts."""
+        for key, parts in self.found.items():
+            yield key, *np.unique(np.concatenate(parts), return_counts=True)
+
 
 @dataclass(frozen=True)
 class Transducer:
