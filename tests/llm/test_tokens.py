@@ -49,6 +49,17 @@ def test_chunks_meet(spark, monkeypatch):
     checked(spark, texts)
 
 
+def test_repeated_rows_stay(spark):
+    """Short and long texts, with equal and missing ids: a row each."""
+    long = "word, and " * 5_000
+    rows = [(1, "a b"), (1, "a b"), (2, long), (2, long), (None, long), (None, "a b"), (2, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = bpe.encode(docs, BPE_RANKS, public_tokenizers.PATTERN).collect()
+    enc = bpe.encoding(BPE_RANKS, public_tokenizers.PATTERN)
+    assert sorted((str(r.doc_id), r.n_tokens) for r in found) == sorted(
+        (str(i), len(enc.encode_ordinary(t))) for i, t in rows)
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode(docs, BPE_RANKS, public_tokenizers.PATTERN).count() == 0
