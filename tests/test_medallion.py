@@ -229,6 +229,17 @@ def test_buckets_change_nothing(spark, settings):
     assert published.current(spark, f"{settings.silver_root}/billing").buckets.columns == ("patient_id", "treatment_id")
 
 
+def test_tables_with_hot_keys_are_not_bucketed(spark, settings):
+    run_medallion(spark, replace(settings, buckets=4, hot_key_rows=2))
+    assert fact(spark, settings) == EXPECTED
+    assert published.current(spark, f"{settings.silver_root}/treatments").buckets is not None
+    change(settings, "treatments", "T002,A002", "T002,A001")
+    ingest(spark, settings)
+    build_silver(spark, replace(settings, buckets=4, hot_key_rows=2))
+    assert published.current(spark, f"{settings.silver_root}/treatments").buckets is None
+    assert published.current(spark, f"{settings.silver_root}/billing").buckets is not None
+
+
 def test_tables_side_by_side_fail_in_order(spark, settings):
     """The same errors, in the same order, however many tables are worked on at a time."""
     broken = replace(settings, extra_tables=("absent", "missing"))

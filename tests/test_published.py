@@ -26,6 +26,7 @@ def test_a_failed_overwrite_keeps_the_last_copy(spark, tmp_path):
         files.write_parquet(failing(spark), path)
     assert published.current(spark, path) == before
     assert files.read_parquet(spark, path).count() == 7
+    assert sorted(os.listdir(path)) == sorted([published.LEDGER, os.path.basename(before.path)])  # nothing left over
     files.write_parquet(spark.range(3), path)
     assert files.read_parquet(spark, path).count() == 3
 

@@ -53,9 +53,10 @@ def pk_violations_by_bitmap(df: DataFrame, key: str) -> DataFrame:
 
 
 def key_bitmaps(df: DataFrame, key: str) -> DataFrame:
-    """bucket and bits of all keys of ``df``; null keys are left out.
+    """bucket and bits of all keys of ``df``, which has each key once; null keys are left out.
 
     Keys meet by bucket before they become bits, so that rows in any order make each bitmap once.
+    A bucket has 32,768 keys at most, so none is large.
     """
     return (
         df.where(F.col(key).isNotNull()).select(_bucket(key).alias(_BUCKET), _bit(key).alias(_BIT))

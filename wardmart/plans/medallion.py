@@ -161,12 +161,26 @@ def ingest(spark: SparkSession, settings: Settings) -> None:
         raise IngestError(failures)
 
 
+def _buckets(spark: SparkSession, settings: Settings, name: str) -> Buckets | None:
+    """How a silver table is bucketed: not at all if a key is hot, as all its rows would be one
+    bucket. The fact's join spreads such keys instead."""
+    if settings.buckets is None or name not in JOINED_ON:
+        return None
+    keys = files.read_parquet(spark, _table(settings.bronze_root, name)).select(*JOINED_ON[name])
+    least = settings.hot_key_rows
+    if measured_hot_keys(keys, JOINED_ON[name], least, least) is not None:
+        log.warning("%s has hot keys and is not bucketed", name)
+        return None
+    return Buckets(JOINED_ON[name], settings.buckets)
+
+
 def _clean_table(spark: SparkSession, settings: Settings, name: str) -> None:
     source, path = _table(settings.bronze_root, name), _table(settings.silver_root, name)
     raw = published.current(spark, source)
-    buckets = Buckets(JOINED_ON[name], settings.buckets) if settings.buckets and name in JOINED_ON else None
+    buckets = _buckets(spark, settings, name)
     today = settings.as_of or dt.date.today()
-    made_from = _made_from(raw.path if raw else source, today, settings.id_type, buckets)
+    made_of = raw.path if raw else published.fingerprint(spark, [source])
+    made_from = _made_from(made_of, today, settings.id_type, buckets)
     if _is_current(spark, settings, path, made_from):
         log.info("%s is current", name)
         return

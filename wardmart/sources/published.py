@@ -2,7 +2,8 @@
 
 Each replacement is written to a new folder below the table's own. Only when it is complete,
 a row in the table's ledger names it, and readers take the folder that the latest row names.
-A write that fails half way leaves a folder that no row names, and the last copy as it was.
+A write that fails half way takes its own folder with it and leaves the last copy as it was; one
+whose driver dies leaves a folder that no row names.
 The ledger also keeps what a copy was made from, so that a run can tell whether it is still
 current, and how it is bucketed.
 """
@@ -107,15 +108,19 @@ def publish(df: DataFrame, path: str, made_from: str | None = None, buckets: Buc
     number = before[0].number + 1 if before else 1
     folder = f"copy-{number:08d}-{uuid.uuid4().hex}"
     copy = Copy(number, f"{path}/{folder}", made_from, buckets)
-    if buckets is None:
-        df.write.parquet(copy.path)
-    else:
-        # Dealt by the bucket's own hash first, each bucket is one file and not one a task.
-        (df.repartition(buckets.number, *buckets.columns).write
-         .bucketBy(buckets.number, *buckets.columns).sortBy(*buckets.columns)
-         .option("path", copy.path).saveAsTable(copy.table))
-    if check is not None:
-        check()
+    try:
+        if buckets is None:
+            df.write.parquet(copy.path)
+        else:
+            # Dealt by the bucket's own hash first, each bucket is one file and not one a task.
+            (df.repartition(buckets.number, *buckets.columns).write
+             .bucketBy(buckets.number, *buckets.columns).sortBy(*buckets.columns)
+             .option("path", copy.path).saveAsTable(copy.table))
+        if check is not None:
+            check()
+    except Exception:
+        _remove(spark, copy)
+        raise
     row = spark.range(0, 1, 1, 1).select(
         F.lit(number).cast("long").alias("number"), F.lit(folder).alias("folder"), F.lit(time.time()).alias("at"),
         F.lit(made_from).cast("string").alias("made_from"),
@@ -130,10 +135,14 @@ def _prune(spark: SparkSession, made: Sequence[Copy], keep: int) -> None:
     """Delete the copies that follow the last ``keep``. Folders that no row names stay: another
     writer may be at work in them."""
     for copy in made[keep:keep + 8]:  # older ones went with earlier calls
-        if copy.buckets is not None:
-            spark.sql(f"drop table if exists {copy.table}")
-        fs, folder = _place(spark, copy.path)
-        fs.delete(folder, True)
+        _remove(spark, copy)
+
+
+def _remove(spark: SparkSession, copy: Copy) -> None:
+    if copy.buckets is not None:
+        spark.sql(f"drop table if exists {copy.table}")
+    fs, folder = _place(spark, copy.path)
+    fs.delete(folder, True)
 
 
 def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:

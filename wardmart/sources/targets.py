@@ -64,7 +64,9 @@ class IndexedParquetTarget(ParquetTarget):
         made_from = f"{key}|{self._fingerprint(spark, table)}"
         copy = published.current(spark, self._index_path(table))
         if copy is None or copy.made_from != made_from:
-            copy = published.publish(key_bitmaps(rows, key), self._index_path(table), made_from)
+            # Distinct first: a key that the target repeats very often is one row in each task.
+            keys = key_bitmaps(rows.select(key).distinct(), key)
+            copy = published.publish(keys, self._index_path(table), made_from)
         return published.opened(spark, copy)
 
     def insert_absent(self, df: DataFrame, table: str, key: str, unique: bool) -> None:
@@ -73,7 +75,7 @@ class IndexedParquetTarget(ParquetTarget):
         held = self.held_keys(spark, table, key)
         rows = df if unique else one_per_key(df, key)
         # All keys of the load are held afterwards, whichever of its rows were added.
-        keys = key_bitmaps(df, key)
+        keys = key_bitmaps(rows, key)
         self.append(rows if held is None else not_in(rows, key, held), table)
         made_from = f"{key}|{self._fingerprint(spark, table)}"
         published.publish(keys if held is None else merged(held, keys), self._index_path(table), made_from)
