@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.llm.common import Prefixes, release, remembered, slices, utf8, written
+from wardmart.llm.common import Prefixes, freeing, release, remembered, slices, utf8, written
 
 #: Most documents of one language that the model learns from.
 TRAIN_DOCS = 4000
@@ -229,6 +229,7 @@ class Model:
         return out
 
 
+@freeing
 def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column("lang").to_pylist()
