@@ -25,7 +25,7 @@ from wardmart.llm.queries import packed, prepared, trained_language
 #: A document whose likeliest language is less probable than this is rejected.
 LANGUAGE_SCORE = 0.5
 #: Words that a worker remembers while it packs; few, as executors carry other stages' memory.
-PACK_WORDS = 300_000
+PACK_WORDS = 150_000
 
 
 def _with_text(docs: DataFrame, like: DataFrame) -> DataFrame:
