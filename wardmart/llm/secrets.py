@@ -2,12 +2,13 @@
 
 Three kinds are looked for: assignments (a name such as ``token``, a sign, a value), access
 keys and long hex strings. The base scan reads the text as it stands. Then a worklist
-unwraps what is encoded: stretches of base64 (with or without a compressed body), and whole
-layers with URL or Unicode escapes. Each new layer is scanned and unwrapped in turn until
-nothing new comes out; a layer seen before is not opened again, which also ends cycles.
-A stretch of base64 is read at all four alignments, and compressed streams are looked for
-anywhere in it, as it may begin or end with characters of the text around it. Neighbouring
-lines of equal width are also read as one stretch.
+unwraps what is encoded: stretches of base64 and of hex digits, compressed streams, and whole
+layers with URL, quoted-printable, HTML, Unicode, octal or string escapes. Each new layer is
+scanned and unwrapped in turn until nothing new comes out; a layer seen before is not opened
+again, which also ends cycles. A stretch of base64 is read at all four alignments, one of hex
+digits at both, and compressed streams are looked for anywhere in any layer, as a stretch may
+begin or end with characters of the text around it. Neighbouring lines of equal width are also
+read as one stretch.
 A layer knows by rule where its bytes came from in the one around it, so that what is found in
 any layer is reported as a span of the original text. A compressed body maps as a whole.
 
@@ -21,6 +22,7 @@ Very long texts are read whole. Other columns are not read.
 from __future__ import annotations
 
 import base64
+import binascii
 import bz2
 import hashlib
 import lzma
@@ -29,6 +31,7 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from html.entities import html5
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +44,9 @@ KINDS = ("assign", "access", "hex")
 INFLATED = 1 << 23
 #: Bytes that numpy looks at in one go.
 CHUNK = 1 << 20
-#: Shortest stretch of base64 that is opened.
+#: Shortest stretches of base64 and of hex digits that are opened: ``STRETCH`` bytes.
 BASE64 = 16
+HEX = 24
 #: Shortest secret: a name of five letters, a sign and a value of six characters.
 STRETCH = 12
 #: Bytes of a compressed stream that are read in one go, and most of its body where that can be set.
@@ -56,7 +60,10 @@ _ASSIGN = re.compile(
 _NAMES = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _NEXT_LINE = re.compile(rb"[\x20\t]*(?:\r\n?|\n)[\x20\t>*#]*([A-Za-z0-9+/_-]+)")
+_NEXT_HEX_LINE = re.compile(rb"[\x20\t]*(?:\r\n?|\n)[\x20\t>*#]*([0-9A-Fa-f]+)")
 _PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})")
+# A sign at a line's end joins it with the next.
+_QUOTED = re.compile(rb"=(?:([0-9A-F]{2})|[\x20\t]*(?:\r\n?|\n))")
 
 
 def scan(data: bytes) -> list[tuple[int, int, str]]:
@@ -73,9 +80,11 @@ def scan(data: bytes) -> list[tuple[int, int, str]]:
     return found
 
 
-#: Whether a byte is 0-9 or a-f; whether it belongs to base64, and how few make a stretch.
+#: Whether a byte is 0-9 or a-f, or a hex digit of either case; whether it belongs to base64.
 _IS_HEX = np.zeros(256, bool)
 _IS_HEX[list(b"0123456789abcdef")] = True
+_IS_DIGIT = _IS_HEX.copy()
+_IS_DIGIT[list(b"ABCDEF")] = True
 _IS_64 = np.zeros(256, bool)
 _IS_64[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
 
@@ -139,6 +148,11 @@ _HEADERS = re.compile(
     rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 
 
+def _is_worth(data: bytes) -> bool:
+    """Whether decoded bytes may hold a secret or a compressed stream."""
+    return _holds_text(data) or _HEADERS.search(data) is not None
+
+
 def _stream(data: memoryview):
     """A reader of the compressed stream that ``data`` begins with, and how much to feed it at once."""
     if data[:2] == b"\x1f\x8b":
@@ -203,26 +217,54 @@ def _whole(layer: Layer, start: int, end: int, body: bytes) -> Layer:
     return Layer(body, layer, lambda _: start, lambda _: end)
 
 
+def _from_streams(layer: Layer) -> Iterator[Layer]:
+    """The bodies of compressed streams, wherever they begin in the layer."""
+    for m in _HEADERS.finditer(layer.data):
+        for inner, used in _inflated(memoryview(layer.data)[m.start():]):
+            if _is_worth(inner):
+                yield _whole(layer, m.start(), m.start() + used, inner)
+
+
 def _from_base64(layer: Layer) -> Iterator[Layer]:
     data = layer.data
     for start, end in _each_run(data, _IS_64, BASE64):
-        run = data[start:end]
-        if run.isalpha() and (run.islower() or run.isupper() or run.istitle()):
-            continue  # a plain word
-        yield from _decoded(layer, run, start.__add__)
-    for lines in _wrapped(data):
-        starts = [s for s, _ in lines]
-        ahead = np.cumsum([0, *(e - s for s, e in lines)]).tolist()
+        yield from _decoded(layer, data[start:end], start.__add__)
+    for lines in _wrapped(data, _IS_64, BASE64, _NEXT_LINE):
+        yield from _decoded(layer, *_joined(data, lines))
+
+
+def _from_hex(layer: Layer) -> Iterator[Layer]:
+    data = layer.data
+    for start, end in _each_run(data, _IS_DIGIT, HEX):
+        yield from _of_digits(layer, data[start:end], start.__add__)
+    for lines in _wrapped(data, _IS_DIGIT, HEX, _NEXT_HEX_LINE):
+        yield from _of_digits(layer, *_joined(data, lines))
 
-        def place(i: int, starts=starts, ahead=ahead) -> int:
-            line = bisect_right(ahead, i) - 1
-            return starts[line] + i - ahead[line]
 
-        yield from _decoded(layer, b"".join(data[s:e] for s, e in lines), place)
+def _of_digits(layer: Layer, run: bytes, place: Place) -> Iterator[Layer]:
+    """What hex digits hold of which the i-th lies at ``place(i)``, from the first and from the second."""
+    for skip in range(2):
+        body = binascii.unhexlify(memoryview(run)[skip:skip + (len(run) - skip) // 2 * 2])
+        if _is_worth(body):
+            yield Layer(body, layer, lambda i, skip=skip: place(skip + 2 * i),
+                        lambda i, skip=skip: place(skip + 2 * i + 1) + 1)
 
 
-def _wrapped(data: bytes) -> Iterator[list[tuple[int, int]]]:
-    """Neighbouring lines of base64 that may be one body: of equal width, but that the first may
+def _joined(data: bytes, lines: list[tuple[int, int]]) -> tuple[bytes, Place]:
+    """Some lines as one stretch, and where each of its characters lies."""
+    starts = [s for s, _ in lines]
+    ahead = np.cumsum([0, *(e - s for s, e in lines)]).tolist()
+
+    def place(i: int) -> int:
+        line = bisect_right(ahead, i) - 1
+        return starts[line] + i - ahead[line]
+
+    return b"".join(data[s:e] for s, e in lines), place
+
+
+def _wrapped(data: bytes, member: np.ndarray, least: int,
+             next_line: re.Pattern) -> Iterator[list[tuple[int, int]]]:
+    """Neighbouring lines of a class that may be one body: of equal width, but that the first may
     follow other text on its line and the last may be shorter.
 
     Each line is also opened by itself, as lines may as well be bodies of their own.
@@ -230,11 +272,11 @@ def _wrapped(data: bytes) -> Iterator[list[tuple[int, int]]]:
     if b"\n" not in data and b"\r" not in data:
         return
     done = 0
-    for start, end in _runs(data, _IS_64, BASE64):
+    for start, end in _runs(data, member, least):
         if start < done:
             continue
         lines = [(start, end)]
-        while m := _NEXT_LINE.match(data, lines[-1][1]):
+        while m := next_line.match(data, lines[-1][1]):
             width, new = lines[-1][1] - lines[-1][0], m.end(1) - m.start(1)
             if new > width and len(lines) > 1:
                 break
@@ -260,17 +302,12 @@ def _decoded(layer: Layer, run: bytes, place: Place) -> Iterator[Layer]:
 
     The stretch may begin and end with characters that do not belong to it, as after "key-",
     "/api/v1/" or before "/next". They decode to noise of their own; the rest comes out right at
-    one of four alignments, and compressed streams may begin anywhere in it.
+    one of four alignments.
     """
     run = run.translate(_STANDARD) if b"-" in run or b"_" in run else run
     for skip in range(4):
         body = _from_64(run, skip)
-        for m in _HEADERS.finditer(body):
-            for inner, used in _inflated(memoryview(body)[m.start():]):
-                if _holds_text(inner):
-                    last = ((m.start() + used) * 8 - 1) // 6
-                    yield _whole(layer, place(skip + m.start() * 8 // 6), place(skip + last) + 1, inner)
-        if _holds_text(body):
+        if _is_worth(body):
             yield Layer(body, layer, lambda i, skip=skip: place(skip + i * 8 // 6),
                         lambda i, skip=skip: place(skip + ((i + 1) * 8 - 1) // 6) + 1)
 
@@ -318,7 +355,9 @@ def _replaced(layer: Layer, pattern: re.Pattern, value) -> Layer | None:
 # One escape at a time, so that each maps to its own characters; halves stay together.
 _ESCAPES = re.compile(
     rb"\\u[Dd][89ABab][0-9A-Fa-f]{2}\\u[Dd][C-Fc-f][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}"
-    rb"|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+    rb"|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
+    rb"|\\([0-3][0-7]{2})|\\([\"'\\/nrt])|&([A-Za-z][A-Za-z0-9]{1,30};)")
+_SIGNS = {b"n": b"\n", b"r": b"\r", b"t": b"\t"}
 
 
 def _escape(m: re.Match) -> bytes | None:
@@ -326,6 +365,13 @@ def _escape(m: re.Match) -> bytes | None:
     try:
         if code or m[4]:
             return chr(int(code, 16) if code else int(m[4])).encode()
+        if m[5]:
+            return bytes([int(m[5], 8)])
+        if m[6]:
+            return _SIGNS.get(m[6], m[6])
+        if m[7]:
+            named = html5.get(m[7].decode())
+            return None if named is None else named.encode()
         if raw[:2] == b"\\x":
             return bytes([int(raw[2:], 16)])
         return bytes.fromhex(raw.replace(b"\\u", b"").decode()).decode("utf-16-be").encode()
@@ -340,11 +386,17 @@ def unwrapped(layer: Layer) -> Iterator[Layer]:
         inner = _replaced(layer, _PERCENT, lambda m: bytes([int(m[1], 16)]))
         if inner:
             yield inner
-    if b"\\" in data or b"&#" in data:
+    if b"=" in data:
+        inner = _replaced(layer, _QUOTED, lambda m: bytes([int(m[1], 16)]) if m[1] else b"")
+        if inner:
+            yield inner
+    if b"\\" in data or b"&" in data:
         inner = _replaced(layer, _ESCAPES, _escape)
         if inner:
             yield inner
+    yield from _from_hex(layer)
     yield from _from_base64(layer)
+    yield from _from_streams(layer)
 
 
 def spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
