@@ -5,6 +5,7 @@ comparison query, so both start from the same rows. The given tables hold no nul
 no copies; the texts bring them in by ordinary conditions on the data: a value that is
 missing for some nations, segments or states, and one more copy of the rows of a state.
 ``holes=False`` keeps the business IDs whole, for loads that check primary keys.
+Spark takes the copies from the rows as they come, so that it makes each row once.
 """
 
 from __future__ import annotations
@@ -14,8 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from wardmart.schemas import RAW
 
 
+class _Copied(str):
+    """A text of rows and, once more, those of them that meet a condition."""
+
+    body: str
+    where: str
+
+    def at_once(self) -> str:
+        """The same rows from one pass over the body."""
+        return (f"select x.* from ({self.body}) x lateral view "
+                f"explode(case when {self.where} then array(1, 2) else array(1) end) copies as number")
+
+
 def _copies(body: str, where: str) -> str:
-    return f"select * from ({body}) x union all select * from ({body}) y where {where}"
+    text = _Copied(f"select * from ({body}) x union all select * from ({body}) y where {where}")
+    text.body, text.where = body, where
+    return text
 
 
 def _id(letter: str, key: str, hole: str, holes: bool) -> str:
@@ -156,6 +171,7 @@ def names_of(text: str) -> list[str]:
 def rows(spark: SparkSession, sf_dir: str, text: str, table: str) -> DataFrame:
     """The derived table in Spark, with the declared raw types."""
     given = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names_of(text)}
+    text = text.at_once() if isinstance(text, _Copied) else text
     return spark.sql(text, **given).to(RAW[table])
 
 

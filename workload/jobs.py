@@ -97,26 +97,20 @@ def clinic_trend_month(spark, sf_dir):
     return trend(_fact(spark, sf_dir), calendar(spark, *CALENDAR), "month")
 
 
-# Gold folders of runs made by this process, by application and table folder.
-_RUNS: dict[tuple[str, str], Settings] = {}
-
-
 def _medallion(spark, sf_dir):
-    """Raw tables as CSV, then all layers through files; one run serves all gold tables."""
-    run = (spark.sparkContext.applicationId, sf_dir)
-    if run not in _RUNS:
-        root = scratch_dir(spark)
-        for name in silver.CLEANERS:
-            _raw(spark, sf_dir, name, holes=False).write.option("header", True).csv(
-                f"{root}/input/{name}.csv")
-        settings = Settings(
-            input_root=f"{root}/input", bronze_root=f"{root}/bronze",
-            silver_root=f"{root}/silver",
-            target=ParquetTarget(f"{root}/gold"), as_of=AS_OF,
-            calendar_start=CALENDAR[0], calendar_end=CALENDAR[1])
-        run_medallion(spark, settings)
-        _RUNS[run] = settings
-    return _RUNS[run]
+    """Raw tables as CSV, then all layers through files. Each call is a run of its own: a table
+    folder may have changed since the last one."""
+    root = scratch_dir(spark)
+    for name in silver.CLEANERS:
+        _raw(spark, sf_dir, name, holes=False).write.option("header", True).csv(
+            f"{root}/input/{name}.csv")
+    settings = Settings(
+        input_root=f"{root}/input", bronze_root=f"{root}/bronze",
+        silver_root=f"{root}/silver",
+        target=ParquetTarget(f"{root}/gold"), as_of=AS_OF,
+        calendar_start=CALENDAR[0], calendar_end=CALENDAR[1])
+    run_medallion(spark, settings)
+    return settings
 
 
 def _gold_table(name):
