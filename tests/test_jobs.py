@@ -68,3 +68,14 @@ def test_each_gold_query_is_a_run(spark, monkeypatch, table):
     for _ in range(2):
         jobs.QUERIES[f"q_medallion_{table.split('_')[-1] if table != 'fact_appointments' else 'fact'}"](spark, "given")
     assert len({s.input_root for s in runs}) == 2
+
+
+def test_buckets_follow_the_input(spark, given, monkeypatch):
+    used = []
+    publish = jobs.published.publish
+    monkeypatch.setattr(jobs.published, "publish", lambda *a, **k: used.append(k["buckets"].number) or publish(*a, **k))
+    few = Counter(jobs.fact_bucketed(spark, given).collect())
+    assert used == [jobs.BUCKETS] * 3
+    monkeypatch.setattr(jobs, "BUCKET_BYTES", 500, raising=False)
+    assert Counter(jobs.fact_bucketed(spark, given).collect()) == few
+    assert len(set(used[3:])) == 1 and used[3] > 20

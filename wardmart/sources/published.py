@@ -57,6 +57,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, place = _place(spark, path)
+    return fs.getContentSummary(place).getLength()
+
+
 def copies(spark: SparkSession, path: str) -> list[Copy]:
     """All published copies, the current one first; empty if there is no ledger."""
     path = path.rstrip("/")

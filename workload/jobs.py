@@ -74,15 +74,22 @@ def fact_appointments(spark, sf_dir):
     return gold.ordered(_fact(spark, sf_dir), "fact_appointments")
 
 
-BUCKETS = 8
+# Fewest buckets, and the bytes of the given tables for which there is one.
+BUCKETS, BUCKET_BYTES = 8, 16 << 20
+
+
+def _bucket_number(spark, sf_dir):
+    """As many buckets as the orders and line items call for: each is one task."""
+    given = sum(published.size(spark, f"{sf_dir}/{n}.parquet") for n in ("orders", "lineitem"))
+    return max(BUCKETS, -(-given // BUCKET_BYTES))
 
 
 def fact_bucketed(spark, sf_dir):
     """The fact from silver tables that are bucketed on what its joins meet on."""
-    root = scratch_dir(spark)
+    root, number = scratch_dir(spark), _bucket_number(spark, sf_dir)
     copies = [
         published.publish(_cleaned(spark, sf_dir, name), f"{root}/{name}",
-                          buckets=published.Buckets(JOINED_ON[name], BUCKETS))
+                          buckets=published.Buckets(JOINED_ON[name], number))
         for name in ("appointments", "treatments", "billing")]
     return gold.fact_appointments(*[published.opened(spark, c) for c in copies])
 
