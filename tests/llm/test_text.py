@@ -318,6 +318,28 @@ def test_exact_places_inside():
         [text[s:e] for s, e, k in secrets.spans(text)[1] if k == "assign"] == ["to%6ben%3dabcdefgh"]
 
 
+def _long_bodies():
+    """Bodies of several blocks with a long stretch inside, which has its secret at the end."""
+    noise = bytes(random.Random(7).choices(b"gjkmnpqruvwxyz ;", k=1 << 18))
+    inner = gzip.compress(noise + b" password=hunter2hunter2 ", mtime=0)
+    wrapped = base64.encodebytes(inner)
+    yield "base64", b"x " + base64.b64encode(inner) + b" y" * 50_000
+    yield "lines", b"x " + wrapped + b" y" * 50_000
+    yield "hex", b"x " + inner.hex().encode() + b" y" * 50_000
+    yield "stream", b"x " + inner + b" y" * 50_000
+    yield "twice", b"x " + base64.b64encode(zlib.compress(base64.b64encode(inner))) + b" y" * 50_000
+
+
+@pytest.mark.parametrize("name, body", list(_long_bodies()), ids=lambda x: x if isinstance(x, str) else "")
+def test_secrets_across_blocks(monkeypatch, name, body):
+    """A stretch that is longer than the overlap and crosses blocks is read as one."""
+    monkeypatch.setattr(secrets, "INFLATED", 1 << 16)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 10)
+    monkeypatch.setattr(secrets, "FED_OUT", 1 << 12)
+    inside = base64.b64encode(bz2.compress(body)).decode()
+    assert (4, 4 + len(inside.rstrip("=")), "assign") in secrets.spans(f"see {inside} there")[1]
+
+
 _SECRET = b"password=hunter2hunter2"
 
 

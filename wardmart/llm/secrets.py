@@ -14,8 +14,9 @@ any layer is reported as a span of the original text. A compressed body maps as
 
 Rules: null and empty texts have no spans; repeated rows are scanned each. A compressed body is
 read to its end, in overlapping blocks of ``INFLATED`` bytes, so that a worker holds a few times
-that and a few times the text, however much a body inflates to and however deep bodies nest;
-what is encoded once more inside a body and longer than the overlap may be read in parts.
+that and a few times the text, however much a body inflates to and however deep bodies nest.
+Base64, hex digits and streams inside a body that are longer than the overlap and cross a block's
+end are read from where they begin, in blocks too; of escapes inside them, the blocks are read.
 Very long texts are read whole. Other columns are not read.
 """
 
@@ -32,6 +33,7 @@ from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from html.entities import html5
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +90,10 @@ _IS_DIGIT[list(b"ABCDEF")] = True
 _IS_64 = np.zeros(256, bool)
 _IS_64[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
 
+#: Whether a byte ends a line.
+_IS_BREAK = np.zeros(256, bool)
+_IS_BREAK[list(b"\r\n")] = True
+
 #: Whether a byte is a plain character: printable ASCII, tab or a line's end.
 _IS_PLAIN = np.zeros(256, bool)
 _IS_PLAIN[[9, 10, 13, *range(32, 127)]] = True
@@ -194,11 +200,25 @@ def _inflated(data: memoryview) -> Iterator[tuple[bytes, int]]:
     """The body of the compressed stream that ``data`` begins with, in blocks of about ``INFLATED``
     bytes that overlap by ``OVERLAP``, and for each how many bytes of ``data`` the stream has.
 
-    A body of several blocks is read twice, first to find its end.
+    A body of several blocks is read once more, to find its end, and from each long stretch in it
+    that crosses a block's end.
     """
-    parts, size, used, end = [], 0, 0, None
+    end = None
+    for block in _blocks(lambda: (out for out, _ in _pieces(data))):
+        if end is None:
+            end = max(read for _, read in _pieces(data))
+        yield block, end
+
+
+Chunks = Callable[[], Iterator[bytes]]
+
+
+def _blocks(body: Chunks) -> Iterator[bytes]:
+    """``body`` in overlapping blocks, each followed by those of the stretches that are decoded
+    from it and that no block holds whole."""
+    parts, size, at = [], 0, 0
     new = False  # whether there is more than the overlap
-    for out, used in _pieces(data):
+    for out in body():
         if out:
             parts.append(out)
             size, new = size + len(out), True
@@ -206,11 +226,82 @@ def _inflated(data: memoryview) -> Iterator[tuple[bytes, int]]:
             whole = b"".join(parts)
             parts, new = [whole[-OVERLAP:]], False
             size = len(parts[0])
-            if end is None:
-                end = max(read for _, read in _pieces(data))
-            yield whole, end
+            yield whole
+            for inner in _crossing(body, whole, at):
+                yield from _blocks(inner)
+            at += len(whole) - size
     if new:
-        yield b"".join(parts), used
+        yield b"".join(parts)
+
+
+def _crossing(body: Chunks, block: bytes, at: int) -> Iterator[Chunks]:
+    """What is encoded in ``body`` from a place of ``block`` on, which begins at ``at``, to beyond
+    the block's end. What begins in the overlap is left to the next block."""
+    before = len(block) - OVERLAP
+    for member, width, decode in ((_IS_64, 4, _from_64), (_IS_DIGIT, 2, _from_digits)):
+        inside = member | _IS_BREAK
+        start = next((s for s, e in _each_run(block, inside, OVERLAP) if e == len(block)), None)
+        # One from the block's first byte on began earlier, unless the body does.
+        if start is not None and (start or not at):
+            for skip in range(width):
+                yield lambda start=start, inside=inside, width=width, decode=decode, skip=skip: _decoded_chunks(
+                    _from(body, at + start), inside, width, decode, skip)
+    for m in _HEADERS.finditer(block, 0, before):
+        read = 0
+        for _, read in _pieces(memoryview(block)[m.start():]):
+            pass
+        if read == len(block) - m.start():
+            yield lambda start=m.start(): _inflated_chunks(_from(body, at + start))
+
+
+def _from(body: Chunks, at: int) -> Iterator[bytes]:
+    """``body`` from a place on."""
+    for chunk in body():
+        if at < len(chunk):
+            yield chunk[at:]
+        at = max(0, at - len(chunk))
+
+
+def _decoded_chunks(chunks: Iterator[bytes], inside: np.ndarray, width: int,
+                    decode: Callable[[bytes, int], bytes], skip: int) -> Iterator[bytes]:
+    """What the first stretch of a class holds from its character ``skip`` on; line ends do not count."""
+    rest = b""
+    for chunk in chunks:
+        outside = np.flatnonzero(~inside[np.frombuffer(chunk, np.uint8)])
+        run = chunk[:outside[0]] if len(outside) else chunk
+        run = run.translate(_STANDARD, b"\r\n")
+        skip, run = max(0, skip - len(run)), rest + run[skip:]
+        whole = len(run) // width * width
+        rest = run[whole:]
+        yield decode(run[:whole], 0)
+        if len(outside):
+            break
+    yield decode(rest, 0)
+
+
+def _inflated_chunks(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The body of the compressed stream that begins with the first of ``chunks``."""
+    head = b""
+    try:
+        for chunk in chunks:
+            head += chunk
+            if len(head) >= 8:
+                break
+        stream, fed = _stream(memoryview(head))
+        limited = () if fed < FED else (FED_OUT,)
+        for chunk in chain([head], chunks):
+            for i in range(0, len(chunk), fed):
+                more = chunk[i:i + fed]
+                while True:
+                    out = stream.decompress(more, *limited)
+                    yield out
+                    more = getattr(stream, "unconsumed_tail", b"")
+                    if stream.eof or not limited or not (more or len(out) == FED_OUT):
+                        break
+                if stream.eof:
+                    return
+    except Exception:  # noqa: BLE001 - cut short, or not a stream of that kind after all
+        pass
 
 
 def _whole(layer: Layer, start: int, end: int, body: bytes) -> Layer:
@@ -244,7 +335,7 @@ def _from_hex(layer: Layer) -> Iterator[Layer]:
 def _of_digits(layer: Layer, run: bytes, place: Place) -> Iterator[Layer]:
     """What hex digits hold of which the i-th lies at ``place(i)``, from the first and from the second."""
     for skip in range(2):
-        body = binascii.unhexlify(memoryview(run)[skip:skip + (len(run) - skip) // 2 * 2])
+        body = _from_digits(run, skip)
         if _is_worth(body):
             yield Layer(body, layer, lambda i, skip=skip: place(skip + 2 * i),
                         lambda i, skip=skip: place(skip + 2 * i + 1) + 1)
@@ -289,6 +380,10 @@ def _wrapped(data: bytes, member: np.ndarray, least: int,
             yield lines
 
 
+def _from_digits(run: bytes, skip: int) -> bytes:
+    return binascii.unhexlify(memoryview(run)[skip:skip + (len(run) - skip) // 2 * 2])
+
+
 def _from_64(run: bytes, skip: int) -> bytes:
     """What the characters from ``skip`` on hold; one that completes no byte is left out."""
     whole = skip + (len(run) - skip) // 4 * 4
